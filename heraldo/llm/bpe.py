@@ -36,9 +36,9 @@ from pyspark.sql import functions as F
 
 from .common import slices, table
 
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 16 << 20
 #: \s and \S as the encoder's own regular expressions have them.
-_SPACES = r"\t-\r \x85\xa0  -     　"
+_SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def _splitter(pattern: str) -> Callable[[str], list[str]]:

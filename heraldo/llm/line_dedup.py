@@ -1,19 +1,19 @@
 """Line deduplication by a deletion-neighbourhood join, with DataFrame functions only.
 
-A line's words (white space collapsed, A-Z lowered) are the unit; two lines are near if one word inserted, deleted or
+A line's words (white space collapsed, lower case) are the unit; two lines are near if one word inserted, deleted or
 replaced turns one into the other (an edit bound of one word). A line of MIN_WORDS words or more is removed if an earlier
 line, by (doc_id, line number), is equal or near. Shorter lines are never touched.
 
 Equal lines first fall together by their hash, with a pre-aggregated minimum of their places. Two near lines agree in
-their first or their last half of words; distinct lines that share no such half with another need no neighbourhood. For
-the rest every variant with one word deleted is emitted as a hashed key, beside the line itself; equal keys meet, and
+their first or in their last MIN_WORDS / 2 words; distinct lines that share neither with another need no neighbourhood.
+For the rest every variant with one word deleted is emitted as a hashed key, beside the line itself; equal keys meet, and
 the deleted positions verify the edit distance: equal positions are a replacement, and a line met by another's variant
 lacks one word. Only the earliest place per key and per (key, position) is needed to decide, so a key that a third of all
 lines share is aggregated like any other, and pairs are never listed.
 
-Defined cases: a null text stays null and has no lines; blank lines stay; ties of place cannot occur but for repeated
-doc_ids, whose rows are told apart by the hash of their text and, if that is equal too, treated alike (both keep or both
-lose a line); a null doc_id orders first; other columns pass through `filter_documents`.
+Defined cases: a null text stays null and has no lines; blank lines stay; rows with one doc_id are one document with
+several texts (a line number that stays in one of them stays in all); a null doc_id orders first; other columns pass
+through `filter_documents`.
 """
 
 from __future__ import annotations
@@ -21,74 +21,67 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, persisted, table
+from .common import persisted, table
 
 MIN_WORDS = 10
-_SPACE = r"[\x20\x09-\x0D]+"
+ENDS = MIN_WORDS // 2
 
 
-def _words(line: Column) -> Column:
-    return F.filter(F.split(ascii_lower(line), _SPACE), lambda x: x != "")
+def _normal(line: Column) -> Column:
+    """The line's words with one space between them, in lower case."""
+    odd = line.rlike(r"[\x09-\x0D]|\x20\x20|^\x20|\x20$")
+    return F.lower(F.when(odd, F.btrim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line))
 
 
-def _hash(words: Column, *tags: Column) -> Column:
-    return F.xxhash64(F.array_join(words, " "), *tags)
+def _count(normal: Column) -> Column:
+    return F.size(F.split(normal, " "))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc, line, words) of the lines that can be removed; doc orders rows and names them."""
-    rows = docs.select(F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("doc"), F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    return rows.select("doc", "line", _words(F.col("raw")).alias("words")).where(F.size("words") >= MIN_WORDS)
-
-
-def _half_keys(words: Column, n: Column) -> Column:
-    """Keys of which near lines share one: halves for pairs whose shorter line has n or n - 1 words."""
-    keys = []
-    for shorter in (n, n - 1):
-        head = F.floor(shorter / 2).cast("int")
-        keys += [_hash(F.slice(words, F.lit(1), head), shorter, F.lit("head")), _hash(F.slice(words, n - (shorter - head) + 1, shorter - head), shorter, F.lit("tail"))]
-    return F.array(*keys)
-
-
-def _without(words: Column, i: Column) -> Column:
-    return F.concat(F.slice(words, F.lit(1), i), F.slice(words, i + 2, F.size(words)))
+    """(doc_id, line, words) of the lines that can be removed; words as one string."""
+    rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "raw")).where(F.length("raw") >= 2 * MIN_WORDS - 1)
+    return rows.select("doc_id", "line", _normal(F.col("raw")).alias("words")).where(_count(F.col("words")) >= MIN_WORDS)
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
-    """(doc, kept): for each document with removable lines, the numbers of those that stay."""
-    lines = _lines(docs)
-    keyed = lines.select("doc", "line", F.xxhash64(F.array_join("words", " ")).alias("h1"), F.hash(F.array_join("words", " ")).alias("h2"), _half_keys(F.col("words"), F.size("words")).alias("halves"))
-    first = persisted(keyed.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line")).alias("place"), F.first("halves").alias("halves")).select("h1", "h2", "place.doc", "place.line", "halves"), "lines")
-
-    halves = first.select(F.explode(F.array_distinct("halves")).alias("half"), "h1", "doc", "line")
-    shared = halves.groupBy("half").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("half")
-    close = persisted(halves.join(shared, "half", "left_semi").select("doc", "line").distinct().groupBy("doc").agg(F.collect_list("line").alias("close")), "close")
-
-    names = F.struct("doc_id", F.xxhash64("text").alias("text_hash"))
-    texts = docs.select(F.col("doc_id").alias("id"), names.alias("doc"), "text")
-    again = texts.join(close, "doc").select("doc", F.posexplode(F.split("text", "\n")).alias("line", "raw"), "close").where(F.array_contains("close", F.col("line")))
-    again = again.select(F.struct("doc", "line").alias("place"), _words(F.col("raw")).alias("words")).distinct()
-    gaps = F.transform(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.struct(i.alias("gap"), F.xxhash64(F.array_join(_without(F.col("words"), i), " ")).alias("key")))
-    whole = F.array(F.struct(F.lit(-1).alias("gap"), F.xxhash64(F.array_join("words", " ")).alias("key")))
-    variants = persisted(again.select("place", F.explode(F.concat(whole, gaps)).alias("v")).select("place", "v.gap", "v.key"), "variants")
-    met = variants.groupBy("key", "gap").agg(F.min("place").alias("earliest"), F.max("place").alias("latest"))
-    met = met.groupBy("key").agg(F.min("earliest").alias("any"), F.max("latest").alias("last"), F.min(F.when(F.col("gap") == -1, F.col("earliest"))).alias("whole"), F.map_from_entries(F.collect_list(F.struct("gap", "earliest"))).alias("by_gap")).where("any <> last")
-    # by_gap has an entry for each word position at most
-    earlier = F.when(F.col("gap") == -1, F.col("any")).otherwise(F.least(F.col("whole"), F.element_at("by_gap", F.col("gap"))))
-    near = variants.join(met, "key").where(earlier < F.col("place")).select("place.doc", "place.line").distinct()
-    return first.select("doc", "line").join(near, ["doc", "line"], "left_anti").groupBy("doc").agg(F.collect_list("line").alias("kept"))
+    """(doc_id, kept): for each document with removable lines, the numbers of those that stay."""
+    end = lambda k: F.xxhash64(F.substring_index("words", " ", k), F.lit(k))
+    keyed = _lines(docs).select("doc_id", "line", F.xxhash64("words").alias("h1"), F.hash("words").alias("h2"), end(ENDS).alias("head"), end(-ENDS).alias("tail"))
+    first = persisted(keyed.groupBy("h1", "h2", "head", "tail").agg(F.min(F.struct("doc_id", "line")).alias("place")).select("h1", "head", "tail", "place.doc_id", "place.line"), "lines")
+
+    ends = first.select(F.explode(F.array("head", "tail")).alias("end"), "h1", "doc_id", "line")
+    shared = ends.groupBy("end").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("end")
+    close = ends.join(shared, "end", "left_semi").groupBy("doc_id").agg(F.collect_set("line").alias("close"))
+
+    again = docs.select("doc_id", "text").join(close.withColumnRenamed("doc_id", "close_id"), F.col("doc_id").eqNullSafe(F.col("close_id")))
+    again = again.select("doc_id", "close", F.posexplode(F.split("text", "\n")).alias("line", "raw")).where(F.array_contains("close", F.col("line")))
+    again = again.select("doc_id", "line", _normal(F.col("raw")).alias("words")).withColumn("n", _count(F.col("words"))).where(F.col("n") >= MIN_WORDS)
+    hashed = again.select(F.struct("doc_id", "line").alias("place"), "n", F.transform(F.split("words", " "), lambda w: F.xxhash64(w)).alias("hs"))
+    gaps = hashed.select("place", "n", "hs", F.explode(F.sequence(F.lit(-1), F.col("n") - 1)).alias("gap"))
+    without = F.concat(F.expr("slice(hs, 1, greatest(gap, 0))"), F.expr("slice(hs, gap + 2, n)"))
+    variants = persisted(gaps.select("place", F.col("gap").cast("int").alias("gap"), F.xxhash64(F.when(F.col("gap") < 0, F.col("hs")).otherwise(without)).alias("key")), "variants")
+    shared_keys = variants.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    together = persisted(variants.join(shared_keys, "key", "left_semi"), "together")
+    of_key = together.groupBy("key").agg(F.min("place").alias("any"), F.min(F.when(F.col("gap") < 0, F.col("place"))).alias("whole"))
+    of_gap = together.groupBy("key", "gap").agg(F.min("place").alias("same"))
+    # the line itself meets every variant; a variant meets the line without its word, and variants that lack the same word
+    earlier = F.when(F.col("gap") < 0, F.col("any")).otherwise(F.least("whole", "same"))
+    near = together.join(of_key, "key").join(of_gap, ["key", "gap"]).where(earlier < F.col("place")).select("place.doc_id", "place.line").distinct()
+    near = near.select(F.col("doc_id").alias("near_id"), F.col("line").alias("near_line"))
+    stays = first.join(near, F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("line") == F.col("near_line")), "left_anti")
+    return stays.groupBy("doc_id").agg(F.collect_set("line").alias("kept"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs with the columns n_lines, n_removed (long) and text without the removed lines; all other columns as they are."""
     columns = docs.columns
-    marked = docs.withColumn("__doc", F.struct("doc_id", F.xxhash64("text").alias("text_hash")))
-    kept = kept_lines(docs).select(F.col("doc").alias("__doc"), F.col("kept").alias("__kept"))
+    kept = kept_lines(docs).select(F.col("doc_id").alias("__id"), F.col("kept").alias("__kept"))
     parts = F.split("text", "\n")
-    stays = lambda x, i: (F.size(_words(x)) < MIN_WORDS) | F.coalesce(F.array_contains("__kept", i), F.lit(False))
-    out = marked.join(kept, "__doc", "left").withColumn("__lines", F.filter(parts, stays))
-    n = F.coalesce(F.size(parts).cast("long"), F.lit(0).cast("long"))
-    out = out.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(n).cast("long")).withColumn("n_removed", F.when(F.col("text").isNull(), 0).otherwise(n - F.size("__lines")).cast("long"))
+    short = lambda x: (F.length(x) < 2 * MIN_WORDS - 1) | (_count(_normal(x)) < MIN_WORDS)
+    stays = lambda x, i: F.coalesce(F.array_contains("__kept", i), F.lit(False)) | short(x)
+    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left").withColumn("__lines", F.filter(parts, stays))
+    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(parts))
+    out = out.withColumn("n_lines", n.cast("long")).withColumn("n_removed", (n - F.when(F.col("text").isNull(), 0).otherwise(F.size("__lines"))).cast("long"))
     return out.withColumn("text", F.when(F.col("text").isNotNull(), F.array_join("__lines", "\n"))).select(*columns, "n_lines", "n_removed")
 
 
@@ -109,7 +102,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP10_SQL = r"""
 WITH l AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS raw FROM documents),
 w AS (SELECT doc_id, i, raw, doc_id * 1000000 + i AS place,
-        list_filter(regexp_split_to_array(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM l),
+        list_filter(regexp_split_to_array(lower(raw), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM l),
 f AS (SELECT ws, min(place) AS place FROM w WHERE len(ws) >= 10 GROUP BY ws),
 v AS (SELECT place, 0 AS gap, array_to_string(ws, ' ') AS k FROM f UNION ALL
       SELECT place, g, array_to_string(list_concat(list_slice(ws, 1, g - 1), list_slice(ws, g + 1, len(ws))), ' ') FROM (SELECT place, ws, unnest(range(1, len(ws) + 1)) AS g FROM f)),

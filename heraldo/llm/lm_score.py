@@ -7,8 +7,8 @@ frozen counts then predict by the posterior of each mixture. Nodes that training
 per byte follows from the score.
 
 Everything is counted over all training texts. Texts are read in batches of about BATCH_BYTES; a batch's distinct
-(DEPTH + 1)-grams and token hashes, numbered in sorted order, are what is shuffled. Counts come back to the batch under
-those numbers and are joined to its texts there, so no model is broadcast, and a gram or token in every text is one row
+(DEPTH + 1)-grams and token hashes are what is shuffled. Their values come back to the batch packed and are joined to its
+texts there, so no model is broadcast, and a gram or token in every text is one row
 per batch. The trees are plain grouped sums over (context, node), from the deepest level up, and joins on the way down.
 
 Beside it: the add-one unigram score over white-space tokens with an end token per text.
@@ -74,16 +74,38 @@ def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys, and how many of each are in training."""
-    order = np.argsort(keys, kind="stable")
-    keys, train = keys[order], train[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
-    return keys[first], np.add.reduceat(train, first) if len(first) else np.zeros(0, np.int64)
+    """Sorted distinct keys, and how many of each are in training (a mask)."""
+    distinct = np.unique(keys)
+    seen, times = np.unique(keys[train], return_counts=True)
+    counts = np.zeros(len(distinct), np.int64)
+    counts[np.searchsorted(distinct, seen)] = times
+    return distinct, counts
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     keys, counts = (np.concatenate(x) for x in zip(*parts))
-    return _counted(keys, counts)
+    distinct, at = np.unique(keys, return_inverse=True)
+    return distinct, np.bincount(at, counts, len(distinct)).astype(np.int64)
+
+
+class Finder:
+    """Places of keys in a sorted array: a table by hashed key, and binary search for the few that share a cell."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.shift = keys, U64(64 - max(10, (8 * len(keys)).bit_length()))
+        self.table = np.zeros(1 << int(64 - self.shift), np.int32)
+        self.table[self._cell(keys)] = np.arange(len(keys))
+
+    def _cell(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(U64) * U64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        at = self.table[self._cell(keys)]
+        off = np.flatnonzero(self.keys[at] != keys)
+        at[off] = np.minimum(np.searchsorted(self.keys, keys[off]), len(self.keys) - 1)
+        if (self.keys[at[off]] != keys[off]).any():
+            raise RuntimeError("the input's batches differ between the passes; give a stored table")
+        return at
 
 
 def _features(part: pa.RecordBatch, depth: int):
@@ -101,11 +123,11 @@ def _key_pass(depth: int):
                 for part in slices(whole):
                     train = ~held_out(part.column("doc_id").to_pylist())
                     for kind, keys, bounds in _features(part, depth):
-                        parts[kind].append(_counted(keys, np.repeat(train, np.diff(bounds)).astype(np.int64)))
+                        parts[kind].append(_counted(keys, np.repeat(train, np.diff(bounds))))
                 for kind, found in parts.items():
                     keys, counts = _merged(found)
                     n = len(keys)
-                    yield pa.record_batch([pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, number)), pa.array(np.arange(n, dtype=np.int32)), pa.array(keys), pa.array(counts.astype(np.int64))], names=["kind", "batch", "slot", "key", "n"])
+                    yield pa.record_batch([pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, number)), pa.array(keys), pa.array(counts)], names=["kind", "batch", "key", "n"])
 
     return run
 
@@ -119,13 +141,13 @@ def _text_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (kind, batch, slot, value) as one compressed blob per batch and kind."""
+    """Rows (kind, batch, key, value) as one compressed blob per batch and kind."""
     for batch in batches:
-        kind, owner, slot, value = (batch.column(c).to_numpy() for c in ("kind", "batch", "slot", "value"))
-        order = np.lexsort((slot, kind, owner))
-        kind, owner, slot, value = kind[order], owner[order], slot[order], value[order]
+        kind, owner, key, value = (batch.column(c).to_numpy() for c in ("kind", "batch", "key", "value"))
+        order = np.lexsort((key, kind, owner))
+        kind, owner, key, value = kind[order], owner[order], key[order], value[order]
         cut = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (kind[1:] != kind[:-1]), [True]])) if len(owner) else np.zeros(1, int)
-        blobs = [zstandard.compress(np.diff(slot[a:b], prepend=0).astype("<i4").tobytes() + value[a:b].astype("<f8").tobytes(), 1) for a, b in zip(cut[:-1], cut[1:])]
+        blobs = [zstandard.compress(key[a:b].astype("<i8").tobytes() + value[a:b].astype("<f8").tobytes(), 1) for a, b in zip(cut[:-1], cut[1:])]
         n = len(blobs)
         yield pa.record_batch([pa.array(owner[cut[:-1]]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), pa.array(kind[cut[:-1]]), pa.array(blobs, pa.binary())], names=["batch", "doc_id", "text", "kind", "blob"])
 
@@ -177,20 +199,18 @@ def _score(depth: int, n: int, v: int):
         values = {}
         for kind in (TOKEN, GRAM):
             blobs = [zstandard.decompress(b) for k, b in zip(group.column("kind").to_pylist(), group.column("blob").to_pylist()) if k == kind]
-            sizes = [len(b) // 12 for b in blobs]
-            slot = np.concatenate([np.cumsum(np.frombuffer(b, "<i4", m)) for b, m in zip(blobs, sizes)])
-            values[kind] = np.full(int(slot.max()) + 1, np.nan)
-            values[kind][slot] = np.concatenate([np.frombuffer(b, "<f8", m, 4 * m) for b, m in zip(blobs, sizes)])
+            sizes = [len(b) // 16 for b in blobs]
+            keys = np.concatenate([np.frombuffer(b, "<i8", m) for b, m in zip(blobs, sizes)])
+            order = np.argsort(keys)
+            values[kind] = Finder(keys[order]), np.concatenate([np.frombuffer(b, "<f8", m, 8 * m) for b, m in zip(blobs, sizes)])[order]
         parts = [p for batch in texts for p in slices(batch)]
-        keys = {kind: np.unique(np.concatenate([np.unique(k) for p in parts for what, k, _ in _features(p, depth) if what == kind])) for kind in values}
-        if any(len(keys[k]) != len(values[k]) or np.isnan(values[k]).any() for k in keys):
-            raise RuntimeError("the input's batches differ between the passes; give a stored table")
         out = []
         for part in parts:
             ids = part.column("doc_id").to_pylist()
             sums = {}
             for kind, found, bounds in _features(part, depth):
-                got = values[kind][np.searchsorted(keys[kind], found)]
+                finder, of_key = values[kind]
+                got = of_key[finder(found)]
                 add = lambda x, bounds=bounds: np.add.reduceat(x, bounds[:-1])  # noqa: E731  every text has its end at least
                 sums[kind] = (np.diff(bounds), add(got) if kind == GRAM else (add((got > 0).astype(np.int64)), add(np.log10((got + 1) / (n + v + 1)))))
             (n_tokens, (known, base)), (n_grams, score) = sums[TOKEN], sums[GRAM]
@@ -204,13 +224,13 @@ def _score(depth: int, n: int, v: int):
 def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """SCHEMA for every row of (doc_id, text): trained on the folds that aren't held out, scored on all."""
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    keys = persisted(texts.mapInArrow(_key_pass(depth), "kind int, batch long, slot int, key long, n long"), "keys")
-    tokens = keys.where(f"kind = {TOKEN}").select("batch", "slot", "key", "n")
+    keys = persisted(texts.mapInArrow(_key_pass(depth), "kind int, batch long, key long, n long"), "keys")
+    tokens = keys.where(f"kind = {TOKEN}").select("batch", "key", "n")
     total = tokens.groupBy("key").agg(F.sum("n").alias("n")).agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
-    token_values = tokens.withColumn("value", F.sum("n").over(Window.partitionBy("key")).cast("double")).select(F.lit(TOKEN).alias("kind"), "batch", "slot", "value")
-    grams = keys.where(f"kind = {GRAM}").select("batch", "slot", "key", "n")
+    token_values = tokens.withColumn("value", F.sum("n").over(Window.partitionBy("key")).cast("double")).select(F.lit(TOKEN).alias("kind"), "batch", "key", "value")
+    grams = keys.where(f"kind = {GRAM}").select("batch", "key", "n")
     scores = gram_scores(grams.groupBy("key").agg(F.sum("n").alias("n")), depth)
-    gram_values = grams.join(scores, "key").select(F.lit(GRAM).alias("kind"), "batch", "slot", "value")
+    gram_values = grams.join(scores, "key").select(F.lit(GRAM).alias("kind"), "batch", "key", "value")
     row = "batch long, doc_id long, text string, kind int, blob binary"
     parts = texts.mapInArrow(_text_pass, row)
     for values in (token_values, gram_values):

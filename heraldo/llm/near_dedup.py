@@ -9,8 +9,8 @@ clearly below the threshold; what remains is confirmed on the full shingle sets.
 Work in groups stays linear. Equal sets are one class from the start, represented by the smallest doc_id. In a band's
 bucket of up to SMALL classes all pairs are candidates (at most SMALL per class and band). In a larger bucket every class
 is paired with the bucket's centre, the class that meets most others over all bands (for edited copies, the original).
-Exact way for the rest: members of large buckets which are then not in the component of the bucket's centre are paired
-with all members of other components of that bucket.
+Exact way for the rest: classes of large buckets which are then outside the component of their centre go through a prefix
+join with all classes of that centre (see _rest), which loses no pair that reaches the threshold.
 
 Defined cases: null or wordless text has an empty set, is linked with nothing and keeps itself; a text with fewer words
 than a shingle is one shingle; rows with equal doc_id count once (the greatest text by order); a null doc_id is dropped,
@@ -166,12 +166,54 @@ def _confirm(size: int, percent: int):
 def confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The candidate pairs (a, b) whose full shingle sets reach the threshold."""
     side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
-    sized = pairs.join(side("a").drop("ra"), "a").join(side("b").drop("rb"), "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    likely = persisted(sized.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(_likely(percent / 100), "a long, b long"), "likely")
+    sized = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    likely = persisted(sized.mapInArrow(_likely(percent / 100), "a long, b long"), "likely")
     text = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
     return persisted(likely.join(text("a"), "a").join(text("b"), "b").mapInArrow(_confirm(size, percent), "a long, b long"), "links")
 
 
+def _prefixes(size: int, percent: int):
+    """The first shingles of each (centre, rep) row in an order that puts those which the centre lacks first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = pa.record_batch([batch.column(c) for c in ("centre", "rep", "own", "outside", "text_rep", "text_centre")], names=["centre", "rep", "own", "outside", "text", "text_centre"])
+            for part in slices(both, limit=1 << 20):
+                docs, hashes = shingle_sets(part.column("text"), size)
+                of_centre, known = shingle_sets(part.column("text_centre"), size)
+                ends, centre_ends = (np.searchsorted(d, np.arange(part.num_rows + 1)) for d in (docs, of_centre))
+                row, n, pos, token = [], [], [], []
+                for i in range(part.num_rows):
+                    own = hashes[ends[i] : ends[i + 1]]
+                    common = np.isin(own, known[centre_ends[i] : centre_ends[i + 1]], assume_unique=True)
+                    first = np.concatenate([own[~common], own[common]])[: len(own) - -(-percent * len(own) // 100) + 1]
+                    row += [i] * len(first)
+                    n += [len(own)] * len(first)
+                    pos += range(len(first))
+                    token.append(first)
+                kept = part.select(["centre", "rep", "own", "outside"]).take(pa.array(row, pa.int64()))
+                tokens = np.concatenate(token).view(np.int64) if token else np.zeros(0, np.int64)
+                yield pa.record_batch([*kept.columns, pa.array(n, pa.int32()), pa.array(pos, pa.int32()), pa.array(tokens)], names=["centre", "rep", "own", "outside", "n", "pos", "token"])
+
+    return run
+
+
+def _rest(placed: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of one centre's classes, one of them outside the centre's component, that may reach the threshold.
+
+    An exact prefix join: in any one order of shingles, the first one that two sets share stands so early in both that
+    the rest of either set can still hold the overlap that the threshold asks for. The order puts what the centre lacks
+    first, so that a class which strayed from its centre meets only those that strayed with it.
+    """
+    open_groups = placed.where("outside").select("centre").distinct()
+    text = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
+    rows = placed.join(open_groups, "centre", "left_semi").join(text("rep"), "rep").join(text("centre"), "centre")
+    tokens = persisted(rows.mapInArrow(_prefixes(size, percent), "centre long, rep long, own long, outside boolean, n int, pos int, token long"), "prefixes")
+    x, y = tokens.where("outside").alias("x"), tokens.alias("y")
+    fits = F.expr(f"x.centre = y.centre and x.token = y.token and x.own <> y.own and {100 + percent} * least(x.n - x.pos, y.n - y.pos) >= {percent} * (x.n + y.n)")
+    return x.join(y, fits).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every document.
 
@@ -203,13 +245,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     links = confirmed(tried, reps, texts, shingle, percent)
     found = components(links)
 
-    placed = large.join(centres, "band").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", "centre", F.coalesce("component", "rep").alias("own"))
+    placed = large.join(centres, "band").where("rep <> centre").select("centre", "rep").distinct()
+    placed = placed.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("centre", "rep", F.coalesce("component", "rep").alias("own"))
     middle = found.select(F.col("node").alias("centre"), F.col("component").alias("main"))
-    placed = placed.join(middle, "centre", "left").select("band", "rep", "own", F.coalesce("main", "centre").alias("main"))
-    outside = persisted(placed.where("own <> main").select("band", F.col("rep").alias("x"), F.col("own").alias("ox")), "outside")
-    if outside.limit(1).count():
-        rest = outside.join(placed.select("band", F.col("rep").alias("y"), F.col("own").alias("oy")), "band").where("ox <> oy")
-        rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    placed = persisted(placed.join(middle, "centre", "left").select("centre", "rep", "own", (F.col("own") != F.coalesce("main", "centre")).alias("outside")), "placed")
+    if placed.where("outside").limit(1).count():
+        rest = _rest(placed, texts, shingle, percent).join(tried, ["a", "b"], "left_anti")
         more = confirmed(rest, reps, texts, shingle, percent)
         if more.limit(1).count():
             found = components(links.unionByName(more))

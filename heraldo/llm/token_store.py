@@ -53,7 +53,7 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_str(definition)
         size = self.tokenizer.get_vocab_size()
         self.word_end = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
     def _learn(self, chunks: list[str]) -> None:
         """Encodes chunks that aren't known yet. Words of letters go through together: each ends in a word-end token."""
@@ -62,15 +62,16 @@ class TextEncoder:
         missing = [c for c in chunks if c not in self.known]
         plain = [(c, m) for c in missing if (m := _PLAIN(c))]
         words = list({m[1]: None for _, m in plain} | {".": None, ",": None})
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.word_end[ids]) + 1
         if len(ends) == len(words) and ends[-1] == len(ids):
-            of = dict(zip(words, np.split(ids, ends[:-1])))
+            raw, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
+            of = {w: raw[a:b] for w, a, b in zip(words, bounds[:-1], bounds[1:])} | {"": b""}
             for c, m in plain:
-                self.known[c] = np.concatenate([of[m[1]], of[m[2]]]) if m[2] else of[m[1]]
+                self.known[c] = of[m[1]] + of[m[2]]
         rest = [c for c in missing if c not in self.known]
         for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ()):
-            self.known[c] = np.array(e.ids, np.uint32)
+            self.known[c] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, with the end id."""
@@ -82,14 +83,14 @@ class TextEncoder:
         bounds = bounds - bounds[0]
         self._learn(distinct)
         lists = [self.known[c] for c in distinct]
-        size = np.array([len(x) for x in lists], np.int64)
-        flat = np.concatenate(lists) if lists else np.zeros(0, np.uint32)
+        size = np.array([len(x) // 4 for x in lists], np.int64)
+        flat = np.frombuffer(b"".join(lists), "<u4")
         begin = np.cumsum(size) - size
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            n = size[codes[a:b]]
-            ends = np.cumsum(n)
-            at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[codes[a:b]] - (ends - n), n)
-            yield np.append(flat[at], np.uint32(END_ID))
+        n = size[codes]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        every = flat[np.arange(ends[-1]) + np.repeat(begin[codes] - ends[:-1], n)]
+        for a, b in zip(ends[bounds[:-1]], ends[bounds[1:]]):
+            yield np.append(every[a:b], np.uint32(END_ID))
 
 
 _encoders: dict[str, TextEncoder] = {}
