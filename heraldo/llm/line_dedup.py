@@ -29,7 +29,9 @@ ENDS = MIN_WORDS // 2
 
 def _normal(line: Column) -> Column:
     """The line's words with one space between them, in lower case."""
-    odd = line.rlike(r"[\x09-\x0D]|\x20\x20|^\x20|\x20$")
+    odd = line.startswith(" ") | line.endswith(" ")
+    for space in ("  ", "\t", "\x0b", "\x0c", "\r"):
+        odd = odd | line.contains(space)
     return F.lower(F.when(odd, F.btrim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line))
 
 
@@ -37,10 +39,15 @@ def _count(normal: Column) -> Column:
     return F.size(F.split(normal, " "))
 
 
+def _long(normal: Column) -> Column:
+    """Whether there are MIN_WORDS words or more: something follows the first MIN_WORDS - 1."""
+    return F.length(F.substring_index(normal, " ", MIN_WORDS - 1)) < F.length(normal)
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line, words) of the lines that can be removed; words as one string."""
     rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "raw")).where(F.length("raw") >= 2 * MIN_WORDS - 1)
-    return rows.select("doc_id", "line", _normal(F.col("raw")).alias("words")).where(_count(F.col("words")) >= MIN_WORDS)
+    return rows.select("doc_id", "line", _normal(F.col("raw")).alias("words")).where(_long(F.col("words")))
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
@@ -77,7 +84,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     kept = kept_lines(docs).select(F.col("doc_id").alias("__id"), F.col("kept").alias("__kept"))
     parts = F.split("text", "\n")
-    short = lambda x: (F.length(x) < 2 * MIN_WORDS - 1) | (_count(_normal(x)) < MIN_WORDS)
+    short = lambda x: (F.length(x) < 2 * MIN_WORDS - 1) | ~_long(_normal(x))
     stays = lambda x, i: F.coalesce(F.array_contains("__kept", i), F.lit(False)) | short(x)
     out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left").withColumn("__lines", F.filter(parts, stays))
     n = F.when(F.col("text").isNull(), 0).otherwise(F.size(parts))
