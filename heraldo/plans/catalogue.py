@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heraldo.plans import entities, scheduling, series
+from heraldo.plans import entities, reports, scheduling, series
 
 
 def occurrence_weekend(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +15,7 @@ def occurrence_weekend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.where("day between date'1997-01-17' and date'1997-01-19'").groupBy("o_orderkey").agg(F.min("day").alias("day"))
 
 
-QUERIES = {"occurrence_weekend": occurrence_weekend} | entities.QUERIES | series.QUERIES | scheduling.QUERIES
+QUERIES = {"occurrence_weekend": occurrence_weekend} | entities.QUERIES | reports.QUERIES | series.QUERIES | scheduling.QUERIES
 
 ORACLE_SQL = {
     "occurrence_weekend": """
@@ -23,4 +23,4 @@ SELECT o_orderkey, min(day) AS day FROM (
   SELECT o_orderkey, CAST(unnest(generate_series(CAST(o_orderdate AS DATE), CAST(o_orderdate AS DATE) + CAST(o_orderkey % 7 AS INTEGER), INTERVAL 1 DAY)) AS DATE) AS day FROM orders)
 WHERE day BETWEEN DATE '1997-01-17' AND DATE '1997-01-19' GROUP BY 1
 """
-} | entities.ORACLE_SQL | series.ORACLE_SQL | scheduling.ORACLE_SQL
+} | entities.ORACLE_SQL | reports.ORACLE_SQL | series.ORACLE_SQL | scheduling.ORACLE_SQL
