@@ -10,8 +10,8 @@ Splitting into pre-tokens is done once per distinct space-separated chunk of a b
 non-space into white space, so a chunk with its leading space is split alike wherever it stands. Texts in which a chunk
 ends in other white space or is empty are split whole.
 
-The batches are cut from the rows as the input's partitions have them, in both passes over them; each batch carries a
-digest of its words, so an input that changes between the passes is an error and never a wrong result.
+The batches are cut from the rows as the input's partitions have them, in both passes over them, so the input must be a
+stored table; a batch whose number of words differs between the passes is an error.
 
 Defined cases: null is encoded as the empty text; an empty text has no ids; rows are encoded one by one, so repeated rows
 and repeated doc_ids stay; other columns are ignored.
@@ -127,7 +127,7 @@ def _pass(pattern: str, positions: bool):
                 if positions:
                     ids = part.column("doc_id")
                     plain = pc.fill_null(ids, 0).to_numpy().astype(np.int64).view("<u4")
-                    yield pa.record_batch([pa.array([number]), pa.array([_digest(words)], pa.binary()), pa.array([_pack(plain, np.asarray(ids.is_valid()).astype(np.uint32), sizes, slots)], pa.binary())], names=["batch", "words", "blob"])
+                    yield pa.record_batch([pa.array([number]), pa.array([_digest(words)], pa.binary()), pa.array([_pack(plain, np.asarray(ids.is_valid()).astype(np.uint32), sizes, slots, np.array([len(words)]))], pa.binary())], names=["batch", "words", "blob"])
                 else:
                     yield pa.record_batch([pa.array(np.full(len(words), number)), pa.array(np.arange(len(words), dtype=np.int32)), pa.array(words, pa.string())], names=["batch", "slot", "word"])
 
@@ -181,10 +181,10 @@ def _reassemble(emit: Callable[[list, Iterator[np.ndarray], object], pa.Table],
         if len(heads) != 1:
             raise RuntimeError("the input's batches differ between the passes; give a stored table")
         packs = [_unpack(r["blob"]) for r in rows if r["words"] is None]
-        plain, valid, sizes, slots = _unpack(heads[0]["blob"])
+        plain, valid, sizes, slots, n_words = _unpack(heads[0]["blob"])
         doc_ids = [int(x) if v else None for x, v in zip(np.ascontiguousarray(plain).view("<i8"), valid)]
         slot_of = np.concatenate([np.cumsum(p[0].astype(np.int64)) for p in packs]) if packs else np.zeros(0, np.int64)
-        if len(slot_of) != (slots.max() + 1 if len(slots) else 0):
+        if len(slot_of) != n_words[0]:  # words that stand only at the start or only inside texts have slots that nothing uses
             raise RuntimeError("the input's batches differ between the passes; give a stored table")
         n_of = np.concatenate([p[1] for p in packs]).astype(np.int64) if packs else np.zeros(0, np.int64)
         ids = np.concatenate([p[2] for p in packs]) if packs else np.zeros(0, "<u4")
