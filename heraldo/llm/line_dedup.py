@@ -5,10 +5,11 @@ replaced turns one into the other (an edit bound of one word). A line of MIN_WOR
 line, by (doc_id, line number), is equal or near. Shorter lines are never touched.
 
 Equal lines first fall together by their hash, with a pre-aggregated minimum of their places. Two near lines agree in
-their first or in their last MIN_WORDS / 2 words; distinct lines that share neither with another need no neighbourhood.
-For the rest every variant with one word deleted is emitted as a hashed key, beside the line itself; equal keys meet, and
-the deleted positions verify the edit distance: equal positions are a replacement, and a line met by another's variant
-lacks one word. Only the earliest place per key and per (key, position) is needed to decide, so a key that a third of all
+their first or in their last MIN_WORDS / 2 words; distinct lines that share neither with another need no neighbourhood,
+and a line that shares one end only can differ by a word at its other end alone. The variants with one word deleted there
+(anywhere, if both ends are shared) are emitted as hashed keys, beside the line itself; equal keys meet, and the deleted
+positions verify the edit distance: equal positions are a replacement, and a line met by another's variant lacks one
+word. Only the earliest place per key and per (key, position) is needed to decide, so a key that a third of all
 lines share is aggregated like any other, and pairs are never listed.
 
 Defined cases: a null text stays null and has no lines; blank lines stay; rows with one doc_id are one document with
@@ -56,15 +57,17 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     keyed = _lines(docs).select("doc_id", "line", F.xxhash64("words").alias("h1"), F.hash("words").alias("h2"), end(ENDS).alias("head"), end(-ENDS).alias("tail"))
     first = persisted(keyed.groupBy("h1", "h2", "head", "tail").agg(F.min(F.struct("doc_id", "line")).alias("place")).select("h1", "head", "tail", "place.doc_id", "place.line"), "lines")
 
-    ends = first.select(F.explode(F.array("head", "tail")).alias("end"), "h1", "doc_id", "line")
+    ends = first.select(F.posexplode(F.array("head", "tail")).alias("kind", "end"), "h1", "doc_id", "line")
     shared = ends.groupBy("end").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("end")
-    close = ends.join(shared, "end", "left_semi").groupBy("doc_id").agg(F.collect_set("line").alias("close"))
+    sharing = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.col("line")))
+    close = ends.join(shared, "end", "left_semi").groupBy("doc_id").agg(sharing(0).alias("heads"), sharing(1).alias("tails"))
 
     again = docs.select("doc_id", "text").join(close.withColumnRenamed("doc_id", "close_id"), F.col("doc_id").eqNullSafe(F.col("close_id")))
-    again = again.select("doc_id", "close", F.posexplode(F.split("text", "\n")).alias("line", "raw")).where(F.array_contains("close", F.col("line")))
-    again = again.select("doc_id", "line", _normal(F.col("raw")).alias("words")).withColumn("n", _count(F.col("words"))).where(F.col("n") >= MIN_WORDS)
-    hashed = again.select(F.struct("doc_id", "line").alias("place"), "n", F.transform(F.split("words", " "), lambda w: F.xxhash64(w)).alias("hs"))
-    gaps = hashed.select("place", "n", "hs", F.explode(F.sequence(F.lit(-1), F.col("n") - 1)).alias("gap"))
+    again = again.select("doc_id", "heads", "tails", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
+    again = again.select("doc_id", "line", "raw", F.array_contains("heads", F.col("line")).alias("by_head"), F.array_contains("tails", F.col("line")).alias("by_tail")).where("by_head or by_tail")
+    again = again.select("doc_id", "line", "by_head", "by_tail", _normal(F.col("raw")).alias("words")).withColumn("n", _count(F.col("words"))).where(F.col("n") >= MIN_WORDS)
+    hashed = again.select(F.struct("doc_id", "line").alias("place"), "n", F.when(F.col("by_tail"), 0).otherwise(F.col("n") - ENDS).alias("low"), F.when(F.col("by_head"), F.col("n") - 1).otherwise(ENDS - 1).alias("high"), F.transform(F.split("words", " "), lambda w: F.xxhash64(w)).alias("hs"))
+    gaps = hashed.select("place", "n", "hs", F.explode(F.concat(F.array(F.lit(-1)), F.sequence("low", "high"))).alias("gap"))
     without = F.concat(F.expr("slice(hs, 1, greatest(gap, 0))"), F.expr("slice(hs, gap + 2, n)"))
     variants = persisted(gaps.select("place", F.col("gap").cast("int").alias("gap"), F.xxhash64(F.when(F.col("gap") < 0, F.col("hs")).otherwise(without)).alias("key")), "variants")
     shared_keys = variants.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
