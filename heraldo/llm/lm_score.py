@@ -51,18 +51,23 @@ def held_out(doc_ids: list) -> np.ndarray:
 def grams_of(column: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Each text's (depth + 1)-grams, one per byte and one for its end, and the bounds of each text's."""
     data, offsets = utf8(column)
-    data = lowered(data)
     lens = np.diff(offsets)
+    # every text stands between `depth` zeros and its end byte
     begin = offsets[:-1] + np.arange(len(lens)) * (depth + 1)
-    padded = np.zeros(len(data) + len(lens) * (depth + 1), np.int64)
-    padded[np.arange(len(data)) + np.repeat(begin + depth - offsets[:-1], lens)] = data
+    size = len(data) + len(lens) * (depth + 1)
+    of_text = np.ones(size, bool)
+    of_text[begin[:, None] + np.arange(depth)] = False
+    whole = of_text.copy()
+    of_text[begin + depth + lens] = False
+    padded = np.zeros(size, np.uint8)
+    padded[of_text] = lowered(data)
     padded[begin + depth + lens] = END_BYTE
-    at = np.arange(len(data) + len(lens))
+    padded = padded.astype(np.int64)
+    keys = padded[depth:].copy()
+    for j in range(1, depth + 1):
+        keys |= padded[depth - j : size - j] << (8 * j)
+    keys = keys[whole[depth:]]
     bounds = offsets + np.arange(len(offsets))
-    at = at + np.repeat((np.arange(len(lens)) + 1) * depth, lens + 1)
-    keys = np.zeros(len(at), np.int64)
-    for j in range(depth + 1):
-        keys |= padded[at - j] << (8 * j)
     return keys, bounds
 
 
@@ -73,19 +78,18 @@ def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hashes.view(np.int64), words.first + np.arange(len(words.first))
 
 
-def _counted(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys, and how many of each are in training (a mask)."""
-    distinct = np.unique(keys)
-    seen, times = np.unique(keys[train], return_counts=True)
-    counts = np.zeros(len(distinct), np.int64)
-    counts[np.searchsorted(distinct, seen)] = times
-    return distinct, counts
+def _counted(keys: np.ndarray, train: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Distinct keys with how many of each are in training (a mask), then those outside it with none; for _merged."""
+    others = np.unique(keys[~train], return_counts=True)[0]  # with counts it sorts, which is faster here than hashing
+    return [np.unique(keys[train], return_counts=True), (others, np.zeros(len(others), np.int64))]
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     keys, counts = (np.concatenate(x) for x in zip(*parts))
-    distinct, at = np.unique(keys, return_inverse=True)
-    return distinct, np.bincount(at, counts, len(distinct)).astype(np.int64)
+    order = np.argsort(keys)
+    keys = keys[order]
+    begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[begin], np.add.reduceat(counts[order], begin) if len(keys) else counts
 
 
 class Finder:
@@ -123,7 +127,7 @@ def _key_pass(depth: int):
                 for part in slices(whole):
                     train = ~held_out(part.column("doc_id").to_pylist())
                     for kind, keys, bounds in _features(part, depth):
-                        parts[kind].append(_counted(keys, np.repeat(train, np.diff(bounds))))
+                        parts[kind] += _counted(keys, np.repeat(train, np.diff(bounds)))
                 for kind, found in parts.items():
                     keys, counts = _merged(found)
                     n = len(keys)
