@@ -10,7 +10,7 @@ The dictionary is trained on a bounded sample: the SAMPLE documents with the lea
 of each. Everything else covers all documents.
 
 Encoding: a text's chunks between spaces are encoded apart (white space never lies within one of the tokenizer's words),
-each distinct chunk of a slice once, and letters with a closing comma or full stop as letters and sign.
+each distinct chunk of a slice once, and letters with closing signs as letters and signs.
 
 Defined cases: null is the empty text, which is stored as the end id alone; equal doc_ids follow each other by text; a
 null doc_id comes first; an empty table gives an empty store; other columns are ignored.
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -27,7 +28,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -40,7 +40,7 @@ SAMPLE, SAMPLE_CHARS, DICT_BYTES, LEVEL = 2048, 8192, 64 << 10, 3
 PACK_BYTES, PARTITION_BYTES = 4 << 20, 32 << 20
 CACHE = 600_000
 PACKS = "shard long, pack int, dict_sha256 string, width int, doc_ids array<long>, offsets array<long>, counts array<int>, payload binary"
-_PLAIN = regex.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&]*)").fullmatch
 
 
 class TextEncoder:
@@ -61,7 +61,7 @@ class TextEncoder:
             self.known.clear()
         missing = [c for c in chunks if c not in self.known]
         plain = [(c, m) for c in missing if (m := _PLAIN(c))]
-        words = list({m[1]: None for _, m in plain} | {".": None, ",": None})
+        words = list({m[1]: None for _, m in plain} | {m[2]: None for _, m in plain if m[2]}) or ["."]
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.word_end[ids]) + 1
         if len(ends) == len(words) and ends[-1] == len(ids):
@@ -75,10 +75,10 @@ class TextEncoder:
 
     def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, with the end id."""
-        chunks = pc.split_pattern(pc.fill_null(column, ""), " ")
+        chunks = pc.split_pattern(pc.replace_substring(pc.fill_null(column, ""), "\n", " "), " ")
         bounds = np.asarray(chunks.offsets).astype(np.int64)
         coded = chunks.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         codes = coded.indices.to_numpy(zero_copy_only=False)
         bounds = bounds - bounds[0]
         self._learn(distinct)
