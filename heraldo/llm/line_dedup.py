@@ -1,12 +1,15 @@
 """Line deduplication by a deletion-neighbourhood join, with DataFrame functions only.
 
 A line's words (white space collapsed, lower case) are the unit; two lines are near if one word inserted, deleted or
-replaced turns one into the other (an edit bound of one word). A line of MIN_WORDS words or more is removed if an earlier
-line, by (doc_id, line number), is equal or near. Shorter lines are never touched.
+replaced turns one into the other (an edit bound of one word). A non-blank line is removed if an earlier line, by
+(doc_id, line number), is equal; one of NEAR_WORDS words or more also if an earlier such line is near. Under NEAR_WORDS one
+word is more than a fifth of a line, and any two lines of one word would be near. `op10_line_dedup` keeps to its SQL, where
+lines under MIN_WORDS words stay.
 
 Equal lines first fall together by their hash, with a pre-aggregated minimum of their places. Two near lines agree in
 their first or in their last MIN_WORDS / 2 words; distinct lines that share neither with another need no neighbourhood,
-and a line that shares one end only can differ by a word at its other end alone. The variants with one word deleted there
+and a line that shares one end only can differ by a word at its other end alone. Lines under MIN_WORDS words are short: they
+travel whole and take all their deletions. The variants with one word deleted there
 (anywhere, if both ends are shared) are emitted as hashed keys, beside the line itself; equal keys meet, and the deleted
 positions verify the edit distance: equal positions are a replacement, and a line met by another's variant lacks one
 word. Only the earliest place per key and per (key, position) is needed to decide, so a key that a third of all
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import persisted, table
 
-MIN_WORDS = 10
+MIN_WORDS, NEAR_WORDS = 10, 5
 ENDS = MIN_WORDS // 2
 
 
@@ -40,24 +43,32 @@ def _count(normal: Column) -> Column:
     return F.size(F.split(normal, " "))
 
 
-def _long(normal: Column) -> Column:
-    """Whether there are MIN_WORDS words or more: something follows the first MIN_WORDS - 1."""
-    return F.length(F.substring_index(normal, " ", MIN_WORDS - 1)) < F.length(normal)
+def _long(normal: Column, least: int) -> Column:
+    """Whether there are `least` words or more: something follows the first least - 1."""
+    return F.length(F.substring_index(normal, " ", least - 1)) < F.length(normal)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
+def _lines(docs: DataFrame, exact: int) -> DataFrame:
     """(doc_id, line, words) of the lines that can be removed; words as one string."""
-    rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "raw")).where(F.length("raw") >= 2 * MIN_WORDS - 1)
-    return rows.select("doc_id", "line", _normal(F.col("raw")).alias("words")).where(_long(F.col("words")))
+    rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "raw")).where(F.length("raw") >= 2 * exact - 1)
+    return rows.select("doc_id", "line", _normal(F.col("raw")).alias("words")).where(_long(F.col("words"), exact))
 
 
-def kept_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, kept): for each document with removable lines, the numbers of those that stay."""
-    end = lambda k: F.xxhash64(F.substring_index("words", " ", k), F.lit(k))
-    keyed = _lines(docs).select("doc_id", "line", F.xxhash64("words").alias("h1"), F.hash("words").alias("h2"), end(ENDS).alias("head"), end(-ENDS).alias("tail"))
-    first = persisted(keyed.groupBy("h1", "h2", "head", "tail").agg(F.min(F.struct("doc_id", "line")).alias("place")).select("h1", "head", "tail", "place.doc_id", "place.line"), "lines")
+def kept_lines(docs: DataFrame, exact: int = 1, near: int = NEAR_WORDS) -> DataFrame:
+    """(doc_id, kept): for each document with removable lines, the numbers of those that stay.
 
-    ends = first.select(F.posexplode(F.array("head", "tail")).alias("kind", "end"), "h1", "doc_id", "line")
+    Lines of `exact` words or more go for an equal one, those of `near` words or more for a near one.
+    """
+    end = lambda k: F.xxhash64(F.substring_index("words", " ", k), F.lit(k))
+    lines, words = _lines(docs, exact), F.col("words")
+    # a line of MIN_WORDS words can be near one with a word less, and shares an end with it
+    ended = lambda k: end(k) if exact >= MIN_WORDS else F.when(_long(words, MIN_WORDS - 1), end(k))
+    keyed = lines.select("doc_id", "line", F.xxhash64("words").alias("h1"), F.hash("words").alias("h2"), ended(ENDS).alias("head"), ended(-ENDS).alias("tail"), F.when(_long(words, near) & ~_long(words, MIN_WORDS), words).alias("short"))
+    ids = ["h1", "h2", "head", "tail", "short"] if near < MIN_WORDS else ["h1", "h2", "head", "tail"]
+    first = keyed.groupBy(*ids).agg(F.min(F.struct("doc_id", "line")).alias("place")).select(*ids, "place.doc_id", "place.line")
+    first = persisted(first.drop("h2"), "lines")
+
+    ends = first.where("head is not null").select(F.posexplode(F.array("head", "tail")).alias("kind", "end"), "h1", "doc_id", "line")
     shared = ends.groupBy("end").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("end")
     sharing = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.col("line")))
     close = ends.join(shared, "end", "left_semi").groupBy("doc_id").agg(sharing(0).alias("heads"), sharing(1).alias("tails"))
@@ -67,6 +78,9 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     again = again.select("doc_id", "line", "raw", F.array_contains("heads", F.col("line")).alias("by_head"), F.array_contains("tails", F.col("line")).alias("by_tail")).where("by_head or by_tail")
     again = again.select("doc_id", "line", "by_head", "by_tail", _normal(F.col("raw")).alias("words")).withColumn("n", _count(F.col("words"))).where(F.col("n") >= MIN_WORDS)
     hashed = again.select(F.struct("doc_id", "line").alias("place"), "n", F.when(F.col("by_tail"), 0).otherwise(F.col("n") - ENDS).alias("low"), F.when(F.col("by_head"), F.col("n") - 1).otherwise(ENDS - 1).alias("high"), F.transform(F.split("words", " "), lambda w: F.xxhash64(w)).alias("hs"))
+    if near < MIN_WORDS:
+        short = first.where("short is not null").select(F.struct("doc_id", "line").alias("place"), F.split("short", " ").alias("ws")).withColumn("n", F.size("ws"))
+        hashed = hashed.unionByName(short.select("place", "n", F.lit(0).alias("low"), (F.col("n") - 1).alias("high"), F.transform("ws", lambda w: F.xxhash64(w)).alias("hs")))
     gaps = hashed.select("place", "n", "hs", F.explode(F.concat(F.array(F.lit(-1)), F.sequence("low", "high"))).alias("gap"))
     without = F.concat(F.expr("slice(hs, 1, greatest(gap, 0))"), F.expr("slice(hs, gap + 2, n)"))
     variants = persisted(gaps.select("place", F.col("gap").cast("int").alias("gap"), F.xxhash64(F.when(F.col("gap") < 0, F.col("hs")).otherwise(without)).alias("key")), "variants")
@@ -82,12 +96,12 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     return stays.groupBy("doc_id").agg(F.collect_set("line").alias("kept"))
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, exact: int = 1, near: int = NEAR_WORDS) -> DataFrame:
     """docs with the columns n_lines, n_removed (long) and text without the removed lines; all other columns as they are."""
     columns = docs.columns
-    kept = kept_lines(docs).select(F.col("doc_id").alias("__id"), F.col("kept").alias("__kept"))
+    kept = kept_lines(docs, exact, near).select(F.col("doc_id").alias("__id"), F.col("kept").alias("__kept"))
     parts = F.split("text", "\n")
-    short = lambda x: (F.length(x) < 2 * MIN_WORDS - 1) | ~_long(_normal(x))
+    short = lambda x: (F.length(x) < 2 * exact - 1) | ~_long(_normal(x), exact)
     stays = lambda x, i: F.coalesce(F.array_contains("__kept", i), F.lit(False)) | short(x)
     out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left").withColumn("__lines", F.filter(parts, stays))
     n = F.when(F.col("text").isNull(), 0).otherwise(F.size(parts))
@@ -105,7 +119,7 @@ def filter_documents(docs: DataFrame) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"), MIN_WORDS, MIN_WORDS)
     return out.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("text_chars"), F.sha2("text", 256).alias("text_sha256"))
 
 

@@ -192,6 +192,35 @@ def test_chat_log_is_folded(spark):
     assert [tuple(t) for t in found[2]["turns"]] == [("", "")]
 
 
+def brute_lines(texts):
+    """Texts without the lines that an earlier one equals, or nearly equals from five words on."""
+    lines = [(k, i, tuple(re.split("[\x20\x09-\x0D]+", x.strip(" \t\x0b\x0c\r").lower()))) for k, t in enumerate(texts) for i, x in enumerate(t.split("\n"))]
+    first = {}
+    for k, i, ws in lines:
+        if ws != ("",):
+            first.setdefault(ws, (k, i))
+    seen, whole, cut, stay = set(), set(), set(), set()
+    for ws, at in first.items():  # in order of their places
+        gone = [(p, ws[:p] + ws[p + 1:]) for p in range(len(ws))]
+        if len(ws) < 5 or not (ws in cut or any(g in whole or (p, g) in seen for p, g in gone)):
+            stay.add(at)
+        if len(ws) >= 5:
+            whole.add(ws)
+            cut.update(g for _, g in gone)
+            seen.update(gone)
+    return ["\n".join(x for i, x in enumerate(t.split("\n")) if not x.strip(" \t\x0b\x0c\r") or (k, i) in stay) for k, t in enumerate(texts)]
+
+
+def test_short_lines_are_deduplicated(spark, documents):
+    ten = "a b c d e f g h i j"
+    texts = ["Menu\n\none two three four five\n" + ten, "menu\n \none two three four six\nx y", "x z\nX  y\n" + ten[:-2] + "\na b c d e f g h x i", "one two three four five six seven\none two\na b c d"]
+    texts += [documents[k] for k in sorted(documents)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(docs).collect()}
+    assert found[1] == " \nx y" and found[2] == "x z"
+    assert [found[k] for k in range(len(texts))] == brute_lines(texts)
+
+
 def brute_classes(texts, size, percent):
     sets = {}
     for d, t in texts.items():
