@@ -48,6 +48,11 @@ def near_dup_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.close_hashes(hashes, "vec_id", "label", "bits", 15)
 
 
+def near_dup_hamming_20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hashes = table(spark, sf_dir, "embeddings").select("vec_id", "label", matching.sign_bits("embedding").alias("bits"))
+    return matching.close_hashes(hashes, "vec_id", "label", "bits", 20)
+
+
 def gold_match_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     def grams(name: str, key: str) -> DataFrame:
         words = table(spark, sf_dir, name).select(key, F.split(F.lower("text"), r"[^a-z0-9]+").alias("w"))
@@ -123,7 +128,7 @@ def failure_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("user_id", "s.misses", "s.given_up")
 
 
-QUERIES = {f.__name__: f for f in (overlap_pairs, session_set_overlap, rule_priority_match, dedupe_documents, possible_twins, title_word_overlap, near_dup_hamming, gold_match_best, gold_match_greedy, merge_first_last, cdc_actions, detach_media, tombstone_antijoin, retention_split, archive_by_year, upsert_state, gc_unreferenced, fingerprint_set, unique_ids, failure_counters)}
+QUERIES = {f.__name__: f for f in (overlap_pairs, session_set_overlap, rule_priority_match, dedupe_documents, possible_twins, title_word_overlap, near_dup_hamming, near_dup_hamming_20, gold_match_best, gold_match_greedy, merge_first_last, cdc_actions, detach_media, tombstone_antijoin, retention_split, archive_by_year, upsert_state, gc_unreferenced, fingerprint_set, unique_ids, failure_counters)}
 
 _GRAMS = """SELECT DISTINCT {key}, array_to_string(list_slice(w, i, i + 4), ' ') AS gram FROM (SELECT {key}, w, unnest(range(1, len(w) - 3)) AS i FROM (SELECT {key}, regexp_split_to_array(lower(text), '[^a-z0-9]+') AS w FROM {name}) WHERE len(w) >= 5)"""
 
@@ -153,6 +158,10 @@ SELECT a, b, shared, shared >= 0.5 * least(x.n, y.n) AS half, shared >= 2 AND sh
 WITH b AS (SELECT vec_id, label, list_transform(range(1, 65), lambda i: CASE WHEN embedding[i] > 0 THEN 1 ELSE 0 END) AS s FROM embeddings),
 p AS (SELECT x.vec_id AS a, y.vec_id AS b, CAST(list_sum(list_transform(range(1, 65), lambda i: CASE WHEN x.s[i] = y.s[i] THEN 0 ELSE 1 END)) AS BIGINT) AS distance FROM b x JOIN b y ON x.label = y.label AND x.vec_id < y.vec_id)
 SELECT * FROM p WHERE distance <= 15""",
+    "near_dup_hamming_20": """
+WITH b AS (SELECT vec_id, label, list_transform(range(1, 65), lambda i: CASE WHEN embedding[i] > 0 THEN 1 ELSE 0 END) AS s FROM embeddings),
+p AS (SELECT x.vec_id AS a, y.vec_id AS b, CAST(list_sum(list_transform(range(1, 65), lambda i: CASE WHEN x.s[i] = y.s[i] THEN 0 ELSE 1 END)) AS BIGINT) AS distance FROM b x JOIN b y ON x.label = y.label AND x.vec_id < y.vec_id)
+SELECT * FROM p WHERE distance <= 20""",
     "gold_match_best": f"""
 WITH i AS ({_GRAMS.format(key="item_id", name="benchmark")}), d AS ({_GRAMS.format(key="doc_id", name="documents")}),
 p AS (SELECT item_id, doc_id, count(*) AS shared FROM i JOIN d USING (gram) GROUP BY 1, 2)

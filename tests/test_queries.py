@@ -9,6 +9,8 @@ from heraldo.functions import dates, text
 from heraldo.operators import matching, series, state
 from heraldo.plans import catalogue
 
+from .conftest import SMALL
+
 
 @pytest.mark.parametrize("name", sorted(catalogue.ORACLE_SQL))
 def test_query_gives_the_rows_of_its_sql(name, same):
@@ -47,6 +49,12 @@ def test_hashes_that_lie_close(spark):
     assert [tuple(r) for r in matching.close_hashes(rows, "k", "block", "bits", 10).collect()] == [(1, 2, 4)]
 
 
+def test_hashes_within_twenty_bits_are_found(spark):
+    assert catalogue.QUERIES["near_dup_hamming_20"](spark, SMALL).count() == 25
+    rows = spark.createDataFrame([(1, 0, 0), (2, 0, int("1001" * 10, 2)), (3, 0, int("1001" * 10, 2) << 1), (4, 0, (1 << 21) - 1)], "k long, block long, bits long")
+    assert (1, 2, 20) in [tuple(r) for r in matching.close_hashes(rows, "k", "block", "bits", 20).collect()]
+
+
 def test_greedy_claims_are_exclusive_and_in_order(spark):
     pairs = spark.createDataFrame([(1, 1, 7, 5), (1, 1, 8, 4), (1, 2, 7, 9), (1, 3, 7, 9)], "g long, item long, answer long, score long")
     assert sorted(tuple(r) for r in matching.greedy_claims(pairs, "g", "item", "answer", "score").collect()) == [(1, 1, 7)]
