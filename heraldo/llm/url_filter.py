@@ -53,8 +53,8 @@ def host_edges(pages: DataFrame) -> DataFrame:
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
     """(walk, host, mass): personalised PageRank over edges (walk, src, dst, links) from seeds (walk, host, mass).
 
-    Mass at hosts without links of a walk goes back to its seeds. Ends when no mass changes by more than `tolerance` of
-    its walk's total, or after `rounds`.
+    Mass at hosts without links of a walk goes back to its seeds. Ends when no host's mass changes by more than `tolerance`
+    of itself, however many hosts there are, or after `rounds`.
     """
     out = edges.groupBy("walk", "src").agg(F.sum("links").alias("total"))
     steps = persisted(edges.join(out, ["walk", "src"]).select("walk", "src", "dst", (F.col("links") / F.col("total")).alias("part")), "steps")
@@ -68,8 +68,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
         home = seeds.join(lost, "walk").select("walk", "host", (F.col("mass") / F.col("all") * F.col("back")).alias("home"))
         new = sent.join(home, ["walk", "host"], "full").select("walk", "host", (F.coalesce("got", F.lit(0.0)) + F.coalesce("home", F.lit(0.0))).alias("mass"))
         new = persisted(new, "mass")
-        moved = new.alias("n").join(mass.alias("m"), ["walk", "host"], "full").select("walk", F.abs(F.coalesce("n.mass", F.lit(0.0)) - F.coalesce("m.mass", F.lit(0.0))).alias("change"))
-        settled = not moved.join(totals, "walk").where(F.col("change") > tolerance * F.col("all")).limit(1).count()
+        moved = new.alias("n").join(mass.alias("m"), ["walk", "host"], "full").select(F.coalesce("n.mass", F.lit(0.0)).alias("now"), F.coalesce("m.mass", F.lit(0.0)).alias("then"))
+        settled = not moved.where(F.abs(F.col("now") - F.col("then")) > tolerance * F.greatest("now", "then")).limit(1).count()
         mass = new
         if settled:
             break

@@ -64,6 +64,14 @@ def test_distrust_walks_back_and_trust_walks_on(spark):
     assert found[2]["trust"] > 0 and found[3]["distrust"] > 0 and found[5]["host"] == found[5]["path"] == ""
 
 
+def test_a_chain_behind_one_of_many_seeds_is_walked_to_its_end(spark):
+    seeds = spark.range(12_000).selectExpr("id as page_id", "concat('http://s', id, '.com/de/') as url", "'' as html")
+    chain = [(20_000 + i, f"http://c{i}.net/", f'<a href="http://{to}/">x</a>') for i, to in enumerate(("s0.com", "c0.net", "c1.net"))]
+    pages = seeds.unionByName(spark.createDataFrame(chain, "page_id long, url string, html string"))
+    found = {r["page_id"]: r for r in url_filter.judge(pages, url_filter.RULES).where("page_id >= 20000").collect()}
+    assert [found[20_000 + i]["verdict"] for i in range(3)] == ["block"] * 3 and found[20_002]["distrust"] > 0
+
+
 def test_secrets_base(spark, documents):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
     for r in rows(spark, "op3_secret_scan"):
