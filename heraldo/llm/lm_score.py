@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import persisted, slices, table
 from .kernels import NON_SPACE, U64, lowered, utf8, words_of
 
-DEPTH = 4
+DEPTH = 7  # with its byte all 64 bits of a key, so keys shift unsigned
 BATCH_BYTES = 32 << 20
 HELD_OUT, FOLDS = 2, 7
 END_BYTE = 255
@@ -175,7 +175,7 @@ def _estimate() -> Column:
 def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(key, value): log10 probability of a gram's byte after its context, for all grams (key, n), n counted in training."""
     symbol = F.col("key").bitwiseAND(F.lit(255))
-    bits = grams.select("key", "n", F.shiftright("key", 8).alias("ctx"), F.explode(F.sequence(F.lit(0), F.lit(7))).alias("i"))
+    bits = grams.select("key", "n", F.shiftrightunsigned("key", 8).alias("ctx"), F.explode(F.sequence(F.lit(0), F.lit(7))).alias("i"))
     bits = bits.select("key", "n", "ctx", (F.expr("shiftleft(1L, i)").bitwiseOR(F.expr("shiftright(key & 255, 8 - i)"))).alias("node"), F.expr("shiftright(key & 255, 7 - i) & 1").alias("bit"))
     levels = {}
     deepest = bits.groupBy("ctx", "node").agg(F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("n0"), F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("n1"))

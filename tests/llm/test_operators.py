@@ -180,6 +180,17 @@ def test_context_trees_against_brute_force(spark, tmp_path):
         assert math.isclose(r["score"], want, rel_tol=1e-6)
 
 
+def test_contexts_reach_seven_bytes_back(spark, tmp_path):
+    train, (good, bad) = [i for i in range(99) if not lm_score.held_out([i])[0]], [i for i in range(99) if lm_score.held_out([i])[0]][:2]
+    gain = {}
+    for first in ("é", "qr"):  # bytes beyond 127 fill the key's sign bit
+        texts = [(i, ("zw" if i % 2 else first) + "aaaaa" + "xy"[i % 2]) for i in train] + [(good, f"{first}aaaaax"), (bad, f"{first}aaaaay")]
+        spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / f"{len(first)}"))
+        score = {r["doc_id"]: r["score"] for r in lm_score.score(spark.read.parquet(str(tmp_path / f"{len(first)}"))).collect()}
+        gain[first] = score[good] - score[bad]
+    assert gain["é"] > 0.5 and math.isclose(gain["é"], gain["qr"], rel_tol=0.01)  # the trees of the end byte differ a little
+
+
 def test_byte_bpe_is_the_library_s(spark, documents):
     import numpy as np
     import public_tokenizers
