@@ -49,6 +49,12 @@ def persisted(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(df: DataFrame) -> None:
+    """Deletes a persisted table that nothing reads any more."""
+    for folder in {path.rpartition("/")[0] for path in df.inputFiles()}:
+        _delete(df.sparkSession, folder)
+
+
 def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Zero-copy slices with about `limit` bytes of text each; one longer text is a slice of its own."""
     n = batch.num_rows

@@ -5,8 +5,9 @@ Training words are streamed through it and the longest matching length is tracke
 a whole shorter item), the words of that window are hit. A document is contaminated if it has hits and they cover at
 least 1/COVERAGE of its words; such documents are dropped. In the others every hit span is cut out of the text.
 
-Items are taken in blocks of at most BLOCK_WORDS words, so an automaton has a bounded size however many items there are;
-each block streams over all documents and the hits of all blocks are united per document.
+Items are dealt by hash into blocks of about BLOCK_WORDS words; an item is never split. The driver builds, sends and
+releases one block at a time. Between blocks the rows are stored with their hits so far, which the next block's pass
+unites with its own; the last pass gives the result, so a single block needs no storing.
 
 Only runs of consecutive words that all occur in the block's items, at least as long as its shortest window, enter the
 automaton: any other word resets the match to nothing. Which words these are is found by their 64-bit hashes in numpy.
@@ -19,18 +20,21 @@ through `filter_documents`.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructField, StructType
 
-from .common import slices, table
+from .common import persisted, released, slices, table
 from .kernels import ALNUM, Words, words_of
 
 WINDOW, COVERAGE = 13, 20
 BLOCK_WORDS = 500_000
+HITS, ITEMS = "__hits", "__items"
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 class Automaton:
@@ -147,34 +151,62 @@ class Block:
         return hit, found
 
 
-def item_blocks(items: DataFrame, window: int, block_words: int = BLOCK_WORDS) -> list[Block]:
-    """Automata of all items, in blocks of about block_words words; an item is never split.
-
-    The blocks are dealt by a hash of the item; each is brought to the driver alone, so what the driver holds is bounded
-    by the block size.
-    """
+def _dealt(items: DataFrame, block_words: int) -> tuple[DataFrame, list[int]]:
+    """The items (item_id, text, block), and the numbers of the blocks."""
     rows = items.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = max(1, -(-size // (4 * block_words)))  # a word and its gap take four characters at least, or it is a short block
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
-    out = []
-    for k in range(n):
-        part = dealt.where(F.col("block") == k).select("item_id", "text").toArrow().combine_chunks()
-        if part.num_rows:
-            batch = part.to_batches()[0]
-            out.append(Block(batch.column("item_id"), batch.column("text"), window))
-    return out
-
-
-def _search_all(words: Words, blocks: list[Block]) -> tuple[np.ndarray, list[set[str]]]:
-    hit, found = np.zeros(len(words.hashes), bool), [set() for _ in words.first[1:]]
-    for block in blocks:
-        more, items = block.search(words)
-        hit |= more
-        found = [a | b for a, b in zip(found, items)]
+    size = rows.agg(F.sum(F.size(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0))))).first()[0] or 0
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, -(-size // block_words)))))
+    return dealt, sorted(r[0] for r in dealt.select("block").distinct().collect())
+
+
+def _block(dealt: DataFrame, number: int, window: int) -> Block:
+    batch = dealt.where(F.col("block") == number).select("item_id", "text").toArrow().combine_chunks().to_batches()[0]
+    return Block(batch.column("item_id"), batch.column("text"), window)
+
+
+def _searched(part: pa.RecordBatch, words: Words, block: Block | None) -> tuple[np.ndarray, list[set[str]]]:
+    """The block's hits and items, with those of earlier blocks that the rows bring along."""
+    hit, found = block.search(words) if block else (np.zeros(len(words.hashes), bool), [set() for _ in words.first[1:]])
+    if HITS in part.schema.names:
+        for i, (bits, items) in enumerate(zip(part.column(HITS).to_pylist(), part.column(ITEMS).to_pylist())):
+            if bits:
+                a, b = words.first[i], words.first[i + 1]
+                hit[a:b] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=int(b - a)).astype(bool)
+                found[i] |= set(items)
     return hit, found
 
 
+def _passes(docs: DataFrame, items: DataFrame, window: int, block_words: int, finish: Callable, schema) -> DataFrame:
+    """finish(part, words, hit, found) of every slice of docs, with the hits of all blocks."""
+    context = docs.sparkSession.sparkContext
+    dealt, numbers = _dealt(items, block_words)
+    columns = docs.columns
+
+    def over(shared, then):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in slices(batch):
+                    words = words_of(part.column("text"), ALNUM, lower=True)
+                    yield then(part, words, *_searched(part, words, shared.value))
+
+        return run
+
+    def keep(part: pa.RecordBatch, words: Words, hit: np.ndarray, found: list[set[str]]) -> pa.RecordBatch:
+        bits = [np.packbits(hit[a:b]).tobytes() if x else None for a, b, x in zip(words.first[:-1], words.first[1:], found)]
+        new = {HITS: pa.array(bits, pa.binary()), ITEMS: pa.array([sorted(x) for x in found], pa.list_(pa.string()))}
+        return pa.record_batch([*(part.column(c) for c in columns), *new.values()], names=[*columns, *new])
+
+    rows, marked = docs, StructType([*docs.schema.fields, StructField(HITS, BinaryType()), StructField(ITEMS, ArrayType(StringType()))])
+    for i, number in enumerate(numbers[:-1]):
+        shared = context.broadcast(_block(dealt, number, window))
+        more = persisted(rows.mapInArrow(over(shared, keep), marked), "hits")
+        shared.destroy()
+        if i:
+            released(rows)
+        rows = more
+    return rows.mapInArrow(over(context.broadcast(_block(dealt, numbers[-1], window) if numbers else None), finish), schema)
+
+
 def _per_doc(flags: np.ndarray, words: Words) -> np.ndarray:
     total = np.concatenate([[0], np.cumsum(flags)])
     return total[words.first[1:]] - total[words.first[:-1]]
@@ -183,24 +215,19 @@ def _per_doc(flags: np.ndarray, words: Words) -> np.ndarray:
 SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest long"
 
 
-def judge(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: int = COVERAGE) -> DataFrame:
+def judge(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: int = COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """For every row of docs the words, hit words, items and verdict of SCHEMA; longest: the longest hit span in words."""
-    shared = docs.sparkSession.sparkContext.broadcast(item_blocks(items, window))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                words = words_of(part.column("text"), ALNUM, lower=True)
-                hit, found = _search_all(words, shared.value)
-                n_words, n_hit = np.diff(words.first), _per_doc(hit, words)
-                digest = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in found]
-                longest = np.zeros(len(found), np.int64)
-                begins, ends = _spans(hit, words)
-                np.maximum.at(longest, words.docs[begins], ends - begins)
-                columns = [part.column("doc_id"), n_words, n_hit, np.array([len(x) for x in found], np.int64), digest, (n_hit > 0) & (coverage * n_hit >= n_words), longest]
-                yield pa.record_batch([pa.array(x) if not isinstance(x, pa.Array) else x for x in columns], names=[x.split()[0] for x in SCHEMA.split(", ")])
+    def finish(part: pa.RecordBatch, words: Words, hit: np.ndarray, found: list[set[str]]) -> pa.RecordBatch:
+        n_words, n_hit = np.diff(words.first), _per_doc(hit, words)
+        digest = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in found]
+        longest = np.zeros(len(found), np.int64)
+        begins, ends = _spans(hit, words)
+        np.maximum.at(longest, words.docs[begins], ends - begins)
+        columns = [part.column("doc_id"), n_words, n_hit, np.array([len(x) for x in found], np.int64), digest, (n_hit > 0) & (coverage * n_hit >= n_words), longest]
+        return pa.record_batch([pa.array(x) if not isinstance(x, pa.Array) else x for x in columns], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)
+    return _passes(docs.select(F.col("doc_id").cast("long"), "text"), items, window, block_words, finish, SCHEMA)
 
 
 def _spans(hit: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -211,34 +238,30 @@ def _spans(hit: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(hit & ~joined), np.flatnonzero(hit & ~np.append(joined[1:], False)) + 1 if len(hit) else np.zeros(0, np.int64)
 
 
-def filter_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: int = COVERAGE) -> DataFrame:
+def filter_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: int = COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """docs without the contaminated ones; in the rest the hit spans are cut out and n_chars, if there, is brought up to date."""
-    shared = docs.sparkSession.sparkContext.broadcast(item_blocks(items, window))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                words = words_of(part.column("text"), ALNUM, lower=True)
-                hit, _ = _search_all(words, shared.value)
-                n_words, n_hit = np.diff(words.first), _per_doc(hit, words)
-                begins, ends = _spans(hit, words)
-                cuts: dict[int, list[tuple[int, int]]] = {}
-                for a, b in zip(begins, ends):
-                    d = int(words.docs[a])
-                    base = int(words.offsets[d])
-                    cuts.setdefault(d, []).append((int(words.starts[a]) - base, int(words.ends[b - 1]) - base))
-                if cuts:
-                    texts = part.column("text").to_pylist()
-                    for d, spans in cuts.items():
-                        raw, at, kept = texts[d].encode(), 0, []
-                        for a, b in spans:
-                            kept.append(raw[at:a])
-                            at = b
-                        texts[d] = b"".join([*kept, raw[at:]]).decode()
-                    part = part.set_column(part.schema.get_field_index("text"), "text", pa.array(texts, part.column("text").type))
-                yield part.filter(pa.array(~((n_hit > 0) & (coverage * n_hit >= n_words))))
-
-    out = docs.mapInArrow(run, docs.schema)
+    docs_columns = docs.columns
+
+    def finish(part: pa.RecordBatch, words: Words, hit: np.ndarray, found: list[set[str]]) -> pa.RecordBatch:
+        n_words, n_hit = np.diff(words.first), _per_doc(hit, words)
+        begins, ends = _spans(hit, words)
+        cuts: dict[int, list[tuple[int, int]]] = {}
+        for a, b in zip(begins, ends):
+            d = int(words.docs[a])
+            base = int(words.offsets[d])
+            cuts.setdefault(d, []).append((int(words.starts[a]) - base, int(words.ends[b - 1]) - base))
+        if cuts:
+            texts = part.column("text").to_pylist()
+            for d, spans in cuts.items():
+                raw, at, kept = texts[d].encode(), 0, []
+                for a, b in spans:
+                    kept.append(raw[at:a])
+                    at = b
+                texts[d] = b"".join([*kept, raw[at:]]).decode()
+            part = part.set_column(part.schema.get_field_index("text"), "text", pa.array(texts, part.column("text").type))
+        return part.select(docs_columns).filter(pa.array(~((n_hit > 0) & (coverage * n_hit >= n_words))))
+
+    out = _passes(docs, items, window, block_words, finish, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

@@ -191,6 +191,18 @@ def test_contexts_reach_seven_bytes_back(spark, tmp_path):
     assert gain["é"] > 0.5 and math.isclose(gain["é"], gain["qr"], rel_tol=0.01)  # the trees of the end byte differ a little
 
 
+def test_item_blocks_pass_one_at_a_time(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    docs = docs.unionByName(docs.limit(20)).unionByName(docs.limit(20).withColumn("doc_id", F.lit(None).cast("long")))
+    items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    built, make = [], decontaminate._block
+    monkeypatch.setattr(decontaminate, "_block", lambda *a: built.append(a[1]) or make(*a))
+    whole = [sorted(map(str, f(docs, items).collect())) for f in (decontaminate.judge, decontaminate.filter_documents)]
+    assert len(built) == 2
+    parts = [sorted(map(str, f(docs, items, block_words=400).collect())) for f in (decontaminate.judge, decontaminate.filter_documents)]
+    assert len(built) > 5 and parts == whole
+
+
 def test_byte_bpe_is_the_library_s(spark, documents):
     import numpy as np
     import public_tokenizers
