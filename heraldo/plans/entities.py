@@ -107,6 +107,11 @@ def upsert_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.upsert(orders.where("day < date'1998-01-01'"), orders.where("day >= date'1998-01-01' and o_orderkey % 3 = 0"), ["o_custkey"], ["day", "o_orderkey"])
 
 
+def upsert_state_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_custkey", F.to_date("o_orderdate").alias("day"), "o_orderkey")
+    return state.upsert(orders.where("day < date'1998-01-01'"), orders.where("day >= date'1998-01-01'"), ["o_custkey"], ["day", "o_orderkey"])
+
+
 def gc_unreferenced(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
     return state.unreferenced(table(spark, sf_dir, "orders").select("o_orderkey"), refs, "o_orderkey")
@@ -128,7 +133,7 @@ def failure_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("user_id", "s.misses", "s.given_up")
 
 
-QUERIES = {f.__name__: f for f in (overlap_pairs, session_set_overlap, rule_priority_match, dedupe_documents, possible_twins, title_word_overlap, near_dup_hamming, near_dup_hamming_20, gold_match_best, gold_match_greedy, merge_first_last, cdc_actions, detach_media, tombstone_antijoin, retention_split, archive_by_year, upsert_state, gc_unreferenced, fingerprint_set, unique_ids, failure_counters)}
+QUERIES = {f.__name__: f for f in (overlap_pairs, session_set_overlap, rule_priority_match, dedupe_documents, possible_twins, title_word_overlap, near_dup_hamming, near_dup_hamming_20, gold_match_best, gold_match_greedy, merge_first_last, cdc_actions, detach_media, tombstone_antijoin, retention_split, archive_by_year, upsert_state, upsert_state_all, gc_unreferenced, fingerprint_set, unique_ids, failure_counters)}
 
 _GRAMS = """SELECT DISTINCT {key}, array_to_string(list_slice(w, i, i + 4), ' ') AS gram FROM (SELECT {key}, w, unnest(range(1, len(w) - 3)) AS i FROM (SELECT {key}, regexp_split_to_array(lower(text), '[^a-z0-9]+') AS w FROM {name}) WHERE len(w) >= 5)"""
 
@@ -180,6 +185,8 @@ SELECT l_orderkey, count(*) AS n, string_agg(CAST(l_linenumber AS VARCHAR), ','
     "upsert_state": """
 WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' OR o_orderkey % 3 = 0)
 SELECT o_custkey, day, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY day DESC, o_orderkey DESC) AS k FROM o) WHERE k = 1""",
+    "upsert_state_all": """
+SELECT o_custkey, day, o_orderkey FROM (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) AS k FROM orders) WHERE k = 1""",
     "gc_unreferenced": "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
     "fingerprint_set": "SELECT sha256(string_agg(k, chr(10) ORDER BY k)) AS fingerprint FROM (SELECT DISTINCT r_name || '/' || n_name AS k FROM nation JOIN region ON r_regionkey = n_regionkey)",
     "unique_ids": """
