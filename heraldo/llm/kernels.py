@@ -25,12 +25,19 @@ ALNUM = _class(bytes(b for b in range(128) if not (0x30 <= b <= 0x39 or 0x61 <=
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    """The splitmix64 finaliser."""
-    x = x ^ (x >> U64(30))
-    x = x * U64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> U64(27))
-    x = x * U64(0x94D049BB133111EB)
-    return x ^ (x >> U64(31))
+    """The splitmix64 finaliser. Long arrays go through in pieces that stay in the cache."""
+    out = np.array(x, U64)
+    flat = out.reshape(-1)
+    spare = np.empty(min(len(flat), 1 << 15), U64)
+    for at in range(0, len(flat), 1 << 15):
+        part = flat[at : at + (1 << 15)]
+        moved = spare[: len(part)]
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+            np.right_shift(part, U64(shift), out=moved)
+            part ^= moved
+            if factor > 1:
+                part *= U64(factor)
+    return out
 
 
 def _powers(n: int) -> np.ndarray:
