@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -55,6 +57,17 @@ def released(df: DataFrame) -> None:
         _delete(df.sparkSession, folder)
 
 
+def reclaimed(spark: SparkSession) -> None:
+    """Frees the disk of shuffles that no DataFrame refers to any more, which Spark does when the driver collects its garbage.
+
+    What refers to them goes in a first round only, so there are two.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
+
+
 def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Zero-copy slices with about `limit` bytes of text each; one longer text is a slice of its own."""
     n = batch.num_rows

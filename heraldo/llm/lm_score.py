@@ -28,7 +28,6 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import gc
 import math
 import zlib
 from collections.abc import Iterator
@@ -41,11 +40,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import persisted, slices, table
+from .common import persisted, reclaimed, slices, table
 from .kernels import NON_SPACE, U64, lowered, mix, utf8, words_of
 
 DEPTH, SPLIT = 7, 3  # DEPTH context bytes and the byte itself fill a 64-bit key
-BATCH_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
+BATCH_BYTES, PIECE_BYTES, BUCKET_BYTES = 8 << 20, 2 << 20, 4 << 20
 HELD_OUT, FOLDS = 2, 7
 END_BYTE = 255
 END_TOKEN = np.array([0x5EED0F7E47], U64)
@@ -110,7 +109,15 @@ def _distinct(keys: np.ndarray) -> np.ndarray:
 
 
 def _squeezed(*arrays: np.ndarray) -> bytes:
-    return zstandard.compress(b"".join(x.tobytes() for x in arrays), 3)
+    """Arrays compressed, the first bytes of all numbers before the second ones and so on."""
+    planes = (np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes() for x in arrays)
+    return zstandard.compress(b"".join(planes), 1)
+
+
+def _taken(raw: bytes, dtype: type, n: int, at: int = 0) -> np.ndarray:
+    """n numbers whose planes begin at a byte of what _squeezed compressed."""
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(dtype).reshape(-1)
 
 
 def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,13 +127,16 @@ def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, limit=BATCH_BYTES):
             data, offsets = utf8(part.column("text"))
-            row = [[next(numbers)], [None], [None], [part.column("doc_id").to_pylist()], [np.diff(offsets)], [_squeezed(data)]]
+            row = [[next(numbers)], [None], [None], [part.column("doc_id").to_pylist()], [np.diff(offsets)], [zstandard.compress(data.tobytes(), 6)]]
             yield pa.record_batch([pa.array(x, f.type) for x, f in zip(row, schema)], schema=schema)
 
 
-def _texts(sizes: list[int], blob: bytes) -> pa.Array:
+def _pieces(sizes: list[int], blob: bytes) -> Iterator[pa.Array]:
+    """A stored batch's texts, in order, in pieces that arrays of eight times their size stay small for."""
     offsets = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))]).astype(np.int64)
-    return pa.Array.from_buffers(pa.large_string(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(zstandard.decompress(blob))])
+    texts = pa.Array.from_buffers(pa.large_string(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(zstandard.decompress(blob))])
+    for part in slices(pa.record_batch([texts], names=["text"]), limit=PIECE_BYTES):
+        yield part.column("text")
 
 
 def _dealt(depth: int, n_buckets: int):
@@ -135,13 +145,19 @@ def _dealt(depth: int, n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for row in rows.to_pylist():
-                train = ~held_out(row["doc_ids"])
-                for kind, keys, bounds in _features(_texts(row["sizes"], row["blob"]), depth):
-                    used = np.repeat(train, np.diff(bounds))
-                    trained, times = np.unique(keys[used], return_counts=True)
-                    every = _distinct(np.concatenate([trained, _distinct(keys[~used])]))
+                train, at = ~held_out(row["doc_ids"]), 0
+                trained, others = {TOKEN: [], GRAM: []}, {TOKEN: [], GRAM: []}
+                for piece in _pieces(row["sizes"], row["blob"]):
+                    for kind, keys, bounds in _features(piece, depth):
+                        used = np.repeat(train[at : at + len(piece)], np.diff(bounds))
+                        trained[kind].append(np.unique(keys[used], return_counts=True))
+                        others[kind].append(_distinct(keys[~used]))
+                    at += len(piece)
+                for kind in (TOKEN, GRAM):
+                    every = _distinct(np.concatenate([*others[kind], *(k for k, _ in trained[kind])]))
                     n = np.zeros(len(every), np.uint32)
-                    n[np.searchsorted(every, trained)] = times
+                    for keys, times in trained[kind]:
+                        n[np.searchsorted(every, keys)] += times.astype(np.uint32)
                     bucket = _bucket_of(every, kind, depth, n_buckets)
                     order = np.argsort(bucket, kind="stable")
                     every, n, bucket = every[order], n[order], bucket[order]
@@ -223,7 +239,7 @@ def _weighed(levels: list, bit: int) -> list[Nodes]:
 
 def _unsqueezed(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
     raw = zstandard.decompress(blob)
-    return np.cumsum(np.frombuffer(raw, U64, n)), np.frombuffer(raw, np.uint32, n, 8 * n)
+    return np.cumsum(_taken(raw, U64, n)), _taken(raw, np.uint32, n, 8 * n)
 
 
 MERGED = "kind int, bucket int, n_batches int, batches array<long>, sizes array<long>, n_keys long, total long, trained long, blob binary, roots array<struct<ctx:long,node:int,n0:long,n1:long,weighted:double>>"
@@ -288,7 +304,7 @@ def _sent_back(depth: int):
                 row = {c: rows.column(c)[i] for c in rows.schema.names}
                 kind, sizes, m = row["kind"].as_py(), row["sizes"].as_py(), row["n_keys"].as_py()
                 raw = zstandard.decompress(row["blob"].as_py())
-                keys, n = np.cumsum(np.frombuffer(raw, U64, m)), np.frombuffer(raw, np.int64, m, 8 * m)
+                keys, n = np.cumsum(_taken(raw, U64, m)), _taken(raw, np.int64, m, 8 * m)
                 if kind == GRAM:
                     given = row["given"].values
                     values = _values(keys, n, depth, {c: given.field(c).to_numpy() for c in ("ctx", "node", "got", "left")}).astype(np.float32)
@@ -296,7 +312,7 @@ def _sent_back(depth: int):
                     values = n.astype(np.float64)
                 at, blobs = 16 * m, []
                 for size in sizes:
-                    blobs.append(_squeezed(values[np.cumsum(np.frombuffer(raw, np.uint32, size, at).astype(np.int64))]))
+                    blobs.append(_squeezed(values[np.cumsum(_taken(raw, np.uint32, size, at), dtype=np.int64)]))
                     at += 4 * size
                 k = len(sizes)
                 yield pa.record_batch([pa.array(row["batches"].as_py(), pa.int64()), pa.array(np.full(k, kind, np.int32)), pa.array(np.full(k, row["bucket"].as_py(), np.int32)), pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.list_(pa.int64())), pa.array(blobs, pa.binary())], names=["batch", "kind", "bucket", "doc_ids", "sizes", "blob"])
@@ -343,8 +359,8 @@ def given_from_above(roots: DataFrame, split: int) -> DataFrame:
 # ---- scores
 
 
-def _looked_up(keys: np.ndarray, pieces: list[np.ndarray], bucket_of) -> np.ndarray:
-    """The value of each key; pieces has those of the distinct keys, in order by bucket."""
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, each key's place among them, and where in `keys` that one stood."""
     # sorted by hash, with the place in the low bits: numbers sort faster than places do
     low = U64(max(1, len(keys).bit_length()))
     order = mix(keys)
@@ -355,14 +371,9 @@ def _looked_up(keys: np.ndarray, pieces: list[np.ndarray], bucket_of) -> np.ndar
     order &= (U64(1) << low) - U64(1)
     order = order.view(np.int64)
     by_hash = keys[order]
-    fresh = _fresh(by_hash)
-    runs = by_hash[fresh]  # keys whose hashes agree take turns, so that one may have several runs
-    distinct, run = np.unique(runs, return_inverse=True)
-    found = np.empty(len(distinct), pieces[0].dtype)
-    found[np.argsort(bucket_of(distinct), kind="stable")] = np.concatenate(pieces)
-    out = np.empty(len(keys))
-    out[order] = found[run][np.cumsum(fresh) - 1]
-    return out
+    fresh = _fresh(by_hash)  # keys whose hashes agree take turns, so that one may have several runs
+    distinct, run = np.unique(by_hash[fresh], return_inverse=True)
+    return distinct, run[np.cumsum(fresh) - 1], order
 
 
 def _score(depth: int, n_buckets: int, n: int, v: int):
@@ -370,15 +381,34 @@ def _score(depth: int, n_buckets: int, n: int, v: int):
         rows = group.to_pylist()
         (text,) = (r for r in rows if r["kind"] is None)
         parts = sorted((r["kind"], r["bucket"], i) for i, r in enumerate(rows) if r["kind"] is not None)
-        sums = {}
-        for kind, keys, bounds in _features(_texts(text["sizes"], text["blob"]), depth):
-            pieces = [np.frombuffer(zstandard.decompress(rows[i]["blob"]), np.float32 if kind == GRAM else np.float64) for k, _, i in parts if k == kind]
-            got = _looked_up(keys, pieces, lambda x, kind=kind: _bucket_of(x, kind, depth, n_buckets))
-            add = lambda x, bounds=bounds: np.add.reduceat(x, bounds[:-1])  # noqa: E731  every text has its end at least
-            sums[kind] = (np.diff(bounds), add(got) if kind == GRAM else (add((got > 0).astype(np.int64)), add(np.log10((got + 1) / (n + v + 1)))))
-        (n_tokens, (known, base)), (n_grams, score) = sums[TOKEN], sums[GRAM]
+        every = {TOKEN: [], GRAM: []}
+        for piece in _pieces(text["sizes"], text["blob"]):
+            for kind, keys, _ in _features(piece, depth):
+                every[kind].append(_distinct(keys))
+        found = {}
+        for kind, dtype in ((TOKEN, np.dtype(np.float64)), (GRAM, np.dtype(np.float32))):
+            every[kind] = _distinct(np.concatenate(every[kind]))
+            raws = (zstandard.decompress(rows[i]["blob"]) for k, _, i in parts if k == kind)
+            found[kind] = np.empty(len(every[kind]), dtype)
+            found[kind][np.argsort(_bucket_of(every[kind], kind, depth, n_buckets), kind="stable")] = np.concatenate([_taken(raw, dtype, len(raw) // dtype.itemsize) for raw in raws])
+        del rows, group
+        sums = {"n_tokens": [], "known": [], "base": [], "score": [], "n_bytes": []}
+        for piece in _pieces(text["sizes"], text["blob"]):
+            for kind, keys, bounds in _features(piece, depth):
+                distinct, place, order = _runs(keys)
+                got = np.empty(len(keys))
+                got[order] = found[kind][np.searchsorted(every[kind], distinct)][place]
+                add = lambda x, bounds=bounds: np.add.reduceat(x, bounds[:-1])  # noqa: E731  every text has its end at least
+                if kind == GRAM:
+                    sums["score"].append(add(got))
+                    sums["n_bytes"].append(np.diff(bounds) - 1)
+                else:
+                    sums["n_tokens"].append(np.diff(bounds))
+                    sums["known"].append(add((got > 0).astype(np.int64)))
+                    sums["base"].append(add(np.log10((got + 1) / (n + v + 1))))
+        n_tokens, known, base, score, n_bytes = (np.concatenate(x) for x in sums.values())
         ids = text["doc_ids"]
-        arrays = [pa.array(ids, pa.int64()), held_out(ids), n_tokens, known, np.full(len(ids), n), base, score, n_grams - 1]
+        arrays = [pa.array(ids, pa.int64()), held_out(ids), n_tokens, known, np.full(len(ids), n), base, score, n_bytes]
         return pa.table([a if isinstance(a, pa.Array) else pa.array(a) for a in arrays], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
     return run
@@ -393,8 +423,7 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     dealt = texts.mapInArrow(_dealt(depth, n_buckets), "kind int, bucket int, batch long, n long, blob binary")
     merged = persisted(dealt.groupBy("kind", "bucket").applyInArrow(_merge(depth), MERGED), "merged")
     del dealt
-    gc.collect()
-    spark._jvm.System.gc()  # what was shuffled for the merge is not read again, and goes with its last reference
+    reclaimed(spark)
     known = merged.where(f"kind = {TOKEN}").agg(F.sum("total").alias("n"), F.sum("trained").alias("v")).first()
     roots = merged.where(f"kind = {GRAM}").select("bucket", F.inline("roots"))
     given = given_from_above(roots, min(SPLIT, depth)).groupBy("bucket").agg(F.collect_list(F.struct("ctx", "node", "got", "left")).alias("given")).select(F.lit(GRAM).alias("kind"), "bucket", "given")
