@@ -3,21 +3,21 @@
 A line's words (white space collapsed, lower case) are the unit; two lines are near if one word inserted, deleted or
 replaced turns one into the other (an edit bound of one word). A non-blank line is removed if an earlier line, by
 (doc_id, line number), is equal; one of NEAR_WORDS words or more also if an earlier such line is near. Under NEAR_WORDS one
-word is more than a fifth of a line, and any two lines of one word would be near. `op10_line_dedup` keeps to its SQL, where
-lines under MIN_WORDS words stay.
-
-Equal lines first fall together by their hash, with a pre-aggregated minimum of their places. Two near lines agree in
-their first or in their last MIN_WORDS / 2 words; distinct lines that share neither with another need no neighbourhood,
-and a line that shares one end only can differ by a word at its other end alone. Lines under MIN_WORDS words are short: they
-travel whole and take all their deletions. The variants with one word deleted there
-(anywhere, if both ends are shared) are emitted as hashed keys, beside the line itself; equal keys meet, and the deleted
-positions verify the edit distance: equal positions are a replacement, and a line met by another's variant lacks one
-word. Only the earliest place per key and per (key, position) is needed to decide, so a key that a third of all
-lines share is aggregated like any other, and pairs are never listed.
+word is more than a fifth of a line, and any two lines of one word would be near.
+
+Equal lines first fall together by their hashes, with a pre-aggregated minimum of their places. Two near lines of
+LONG_WORDS words or more agree in their first or in their last ENDS words; distinct lines that share neither with another
+need no neighbourhood, and a line that shares one end only can differ by a word at its other end alone. Lines under
+LONG_WORDS words travel whole and take all their deletions. The variants with one word deleted there (anywhere, if both
+ends are shared) are emitted as hashed keys, beside the line itself; equal keys meet, and the deleted positions and a
+second hash verify the edit distance: equal positions are a replacement, and a line met by another's variant lacks one
+word. Only the earliest place per key and per (key, position) is needed to decide, so a key that a third of all lines
+share is aggregated like any other, and pairs are never listed. Lines are told apart by 96 bits at least, variants by 128.
 
 Defined cases: a null text stays null and has no lines; blank lines stay; rows with one doc_id are one document with
-several texts (a line number that stays in one of them stays in all); a null doc_id orders first; other columns pass
-through `filter_documents`.
+several texts (a line number that stays in one of them stays in all); a null doc_id orders first; an empty table gives an
+empty one; a very long text is split where it stands, its lines being all that is held apart; columns of any name pass
+through, as a document's row stays one struct beside what is worked out.
 """
 
 from __future__ import annotations
@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 
 from .common import persisted, table
 
-MIN_WORDS, NEAR_WORDS = 10, 5
-ENDS = MIN_WORDS // 2
+NEAR_WORDS, LONG_WORDS = 5, 10
+ENDS = LONG_WORDS // 2
+_BLANK = " \t\x0b\x0c\r"
 
 
 def _normal(line: Column) -> Column:
@@ -39,32 +40,25 @@ def _normal(line: Column) -> Column:
     return F.lower(F.when(odd, F.btrim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line))
 
 
-def _count(normal: Column) -> Column:
-    return F.size(F.split(normal, " "))
-
-
 def _long(normal: Column, least: int) -> Column:
     """Whether there are `least` words or more: something follows the first least - 1."""
     return F.length(F.substring_index(normal, " ", least - 1)) < F.length(normal)
 
 
-def _lines(docs: DataFrame, exact: int) -> DataFrame:
-    """(doc_id, line, words) of the lines that can be removed; words as one string."""
-    rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "raw")).where(F.length("raw") >= 2 * exact - 1)
-    return rows.select("doc_id", "line", _normal(F.col("raw")).alias("words")).where(_long(F.col("words"), exact))
-
+def _lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, line, words) of the lines that aren't blank; words as one string."""
+    rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "raw")).where(F.col("raw") != "")
+    return rows.select("doc_id", "line", _normal(F.col("raw")).alias("words")).where(F.col("words") != "")
 
-def kept_lines(docs: DataFrame, exact: int = 1, near: int = NEAR_WORDS) -> DataFrame:
-    """(doc_id, kept): for each document with removable lines, the numbers of those that stay.
 
-    Lines of `exact` words or more go for an equal one, those of `near` words or more for a near one.
-    """
-    end = lambda k: F.xxhash64(F.substring_index("words", " ", k), F.lit(k))
-    lines, words = _lines(docs, exact), F.col("words")
-    # a line of MIN_WORDS words can be near one with a word less, and shares an end with it
-    ended = lambda k: end(k) if exact >= MIN_WORDS else F.when(_long(words, MIN_WORDS - 1), end(k))
-    keyed = lines.select("doc_id", "line", F.xxhash64("words").alias("h1"), F.hash("words").alias("h2"), ended(ENDS).alias("head"), ended(-ENDS).alias("tail"), F.when(_long(words, near) & ~_long(words, MIN_WORDS), words).alias("short"))
-    ids = ["h1", "h2", "head", "tail", "short"] if near < MIN_WORDS else ["h1", "h2", "head", "tail"]
+def kept_lines(docs: DataFrame, near: int = NEAR_WORDS) -> DataFrame:
+    """(doc_id, kept): for each document with lines that aren't blank, the numbers of those that stay."""
+    words = F.col("words")
+    # a line of LONG_WORDS words can be near one with a word less, and shares an end with it
+    end = lambda k: F.when(_long(words, LONG_WORDS - 1), F.xxhash64(F.substring_index("words", " ", k), F.lit(k)))
+    short = F.when(_long(words, near) & ~_long(words, LONG_WORDS), words)
+    keyed = _lines(docs).select("doc_id", "line", F.xxhash64("words").alias("h1"), F.hash("words").alias("h2"), end(ENDS).alias("head"), end(-ENDS).alias("tail"), short.alias("short"))
+    ids = ["h1", "h2", "head", "tail", "short"]
     first = keyed.groupBy(*ids).agg(F.min(F.struct("doc_id", "line")).alias("place")).select(*ids, "place.doc_id", "place.line")
     first = persisted(first.drop("h2"), "lines")
 
@@ -76,50 +70,48 @@ def kept_lines(docs: DataFrame, exact: int = 1, near: int = NEAR_WORDS) -> DataF
     again = docs.select("doc_id", "text").join(close.withColumnRenamed("doc_id", "close_id"), F.col("doc_id").eqNullSafe(F.col("close_id")))
     again = again.select("doc_id", "heads", "tails", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
     again = again.select("doc_id", "line", "raw", F.array_contains("heads", F.col("line")).alias("by_head"), F.array_contains("tails", F.col("line")).alias("by_tail")).where("by_head or by_tail")
-    again = again.select("doc_id", "line", "by_head", "by_tail", _normal(F.col("raw")).alias("words")).withColumn("n", _count(F.col("words"))).where(F.col("n") >= MIN_WORDS)
-    hashed = again.select(F.struct("doc_id", "line").alias("place"), "n", F.when(F.col("by_tail"), 0).otherwise(F.col("n") - ENDS).alias("low"), F.when(F.col("by_head"), F.col("n") - 1).otherwise(ENDS - 1).alias("high"), F.transform(F.split("words", " "), lambda w: F.xxhash64(w)).alias("hs"))
-    if near < MIN_WORDS:
-        short = first.where("short is not null").select(F.struct("doc_id", "line").alias("place"), F.split("short", " ").alias("ws")).withColumn("n", F.size("ws"))
-        hashed = hashed.unionByName(short.select("place", "n", F.lit(0).alias("low"), (F.col("n") - 1).alias("high"), F.transform("ws", lambda w: F.xxhash64(w)).alias("hs")))
-    gaps = hashed.select("place", "n", "hs", F.explode(F.concat(F.array(F.lit(-1)), F.sequence("low", "high"))).alias("gap"))
-    without = F.concat(F.expr("slice(hs, 1, greatest(gap, 0))"), F.expr("slice(hs, gap + 2, n)"))
-    variants = persisted(gaps.select("place", F.col("gap").cast("int").alias("gap"), F.xxhash64(F.when(F.col("gap") < 0, F.col("hs")).otherwise(without)).alias("key")), "variants")
+    again = again.select("doc_id", "line", "by_head", "by_tail", F.split(_normal(F.col("raw")), " ").alias("ws")).withColumn("n", F.size("ws")).where(F.col("n") >= LONG_WORDS)
+    long = again.select(F.struct("doc_id", "line").alias("place"), "ws", "n", F.when(F.col("by_tail"), 0).otherwise(F.col("n") - ENDS).alias("low"), F.when(F.col("by_head"), F.col("n") - 1).otherwise(ENDS - 1).alias("high"))
+    whole = first.where("short is not null").select(F.struct("doc_id", "line").alias("place"), F.split("short", " ").alias("ws")).withColumn("n", F.size("ws"))
+    lines = long.unionByName(whole.select("place", "ws", "n", F.lit(0).alias("low"), (F.col("n") - 1).alias("high")))
+    hashed = lines.select("place", "n", F.transform("ws", lambda w: F.xxhash64(w)).alias("hs"), F.concat(F.array(F.lit(-1)), F.sequence("low", "high")).alias("gaps"))
+    gaps = hashed.select("place", "n", "hs", F.explode("gaps").alias("gap"))
+    without = F.when(F.col("gap") < 0, F.col("hs")).otherwise(F.concat(F.expr("slice(hs, 1, greatest(gap, 0))"), F.expr("slice(hs, gap + 2, n)")))
+    keys = gaps.select("place", F.col("gap").cast("int").alias("gap"), without.alias("left"))
+    variants = persisted(keys.select("place", "gap", F.xxhash64("left").alias("key"), F.xxhash64(F.lit(1), "left").alias("check")), "variants")
     shared_keys = variants.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     together = persisted(variants.join(shared_keys, "key", "left_semi"), "together")
-    of_key = together.groupBy("key").agg(F.min("place").alias("any"), F.min(F.when(F.col("gap") < 0, F.col("place"))).alias("whole"))
-    of_gap = together.groupBy("key", "gap").agg(F.min("place").alias("same"))
+    of_key = together.groupBy("key", "check").agg(F.min("place").alias("any"), F.min(F.when(F.col("gap") < 0, F.col("place"))).alias("whole"))
+    of_gap = together.groupBy("key", "check", "gap").agg(F.min("place").alias("same"))
     # the line itself meets every variant; a variant meets the line without its word, and variants that lack the same word
     earlier = F.when(F.col("gap") < 0, F.col("any")).otherwise(F.least("whole", "same"))
-    near = together.join(of_key, "key").join(of_gap, ["key", "gap"]).where(earlier < F.col("place")).select("place.doc_id", "place.line").distinct()
-    near = near.select(F.col("doc_id").alias("near_id"), F.col("line").alias("near_line"))
-    stays = first.join(near, F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("line") == F.col("near_line")), "left_anti")
+    near_lines = together.join(of_key, ["key", "check"]).join(of_gap, ["key", "check", "gap"]).where(earlier < F.col("place")).select("place.doc_id", "place.line").distinct()
+    near_lines = near_lines.select(F.col("doc_id").alias("near_id"), F.col("line").alias("near_line"))
+    stays = first.join(near_lines, F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("line") == F.col("near_line")), "left_anti")
     return stays.groupBy("doc_id").agg(F.collect_set("line").alias("kept"))
 
 
-def deduplicated(docs: DataFrame, exact: int = 1, near: int = NEAR_WORDS) -> DataFrame:
-    """docs with the columns n_lines, n_removed (long) and text without the removed lines; all other columns as they are."""
-    columns = docs.columns
-    kept = kept_lines(docs, exact, near).select(F.col("doc_id").alias("__id"), F.col("kept").alias("__kept"))
-    parts = F.split("text", "\n")
-    short = lambda x: (F.length(x) < 2 * exact - 1) | ~_long(_normal(x), exact)
-    stays = lambda x, i: F.coalesce(F.array_contains("__kept", i), F.lit(False)) | short(x)
-    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left").withColumn("__lines", F.filter(parts, stays))
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(parts))
-    out = out.withColumn("n_lines", n.cast("long")).withColumn("n_removed", (n - F.when(F.col("text").isNull(), 0).otherwise(F.size("__lines"))).cast("long"))
-    return out.withColumn("text", F.when(F.col("text").isNotNull(), F.array_join("__lines", "\n"))).select(*columns, "n_lines", "n_removed")
+def deduplicated(docs: DataFrame, near: int = NEAR_WORDS) -> DataFrame:
+    """(doc, n_lines, n_removed): the rows of docs as structs, text without the removed lines, and counts of lines (long)."""
+    kept = kept_lines(docs, near).withColumnRenamed("doc_id", "kept_id")
+    rows = docs.select(F.struct("*").alias("doc")).join(kept, F.col("doc.doc_id").eqNullSafe(F.col("kept_id")), "left").withColumn("parts", F.split("doc.text", "\n"))
+    stays = lambda x, i: F.coalesce(F.array_contains("kept", i), F.lit(False)) | (F.btrim(x, F.lit(_BLANK)) == "")
+    rows = rows.select("doc", F.size("parts").alias("n"), F.filter("parts", stays).alias("lines"))
+    some = F.col("doc.text").isNotNull()
+    return rows.select(
+        F.col("doc").withField("text", F.when(some, F.array_join("lines", "\n"))).alias("doc"),
+        F.when(some, F.col("n")).otherwise(0).cast("long").alias("n_lines"), F.when(some, F.col("n") - F.size("lines")).otherwise(0).cast("long").alias("n_removed"),
+    )
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
     """docs with the removed lines taken out; documents that lost lines and have no word left go. n_chars follows the text."""
-    out = deduplicated(docs.drop("n_lines", "n_removed"))
-    out = out.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select([c for c in docs.columns if c in out.columns])
+    out = deduplicated(docs).where((F.col("n_removed") == 0) | (F.btrim(F.col("doc.text"), F.lit(_BLANK + "\n")) != "")).select("doc.*")
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"), MIN_WORDS, MIN_WORDS)
+    out = deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc.*", "n_lines", "n_removed")
     return out.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("text_chars"), F.sha2("text", 256).alias("text_sha256"))
 
 
@@ -127,12 +119,12 @@ OP10_SQL = r"""
 WITH l AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS raw FROM documents),
 w AS (SELECT doc_id, i, raw, doc_id * 1000000 + i AS place,
         list_filter(regexp_split_to_array(lower(raw), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM l),
-f AS (SELECT ws, min(place) AS place FROM w WHERE len(ws) >= 10 GROUP BY ws),
-v AS (SELECT place, 0 AS gap, array_to_string(ws, ' ') AS k FROM f UNION ALL
-      SELECT place, g, array_to_string(list_concat(list_slice(ws, 1, g - 1), list_slice(ws, g + 1, len(ws))), ' ') FROM (SELECT place, ws, unnest(range(1, len(ws) + 1)) AS g FROM f)),
+f AS (SELECT ws, min(place) AS place FROM w WHERE len(ws) > 0 GROUP BY ws),
+v AS (SELECT place, 0 AS gap, array_to_string(ws, ' ') AS k FROM f WHERE len(ws) >= 5 UNION ALL
+      SELECT place, g, array_to_string(list_concat(list_slice(ws, 1, g - 1), list_slice(ws, g + 1, len(ws))), ' ') FROM (SELECT place, ws, unnest(range(1, len(ws) + 1)) AS g FROM f WHERE len(ws) >= 5)),
 n AS (SELECT DISTINCT b.place FROM v a JOIN v b ON a.k = b.k AND a.place < b.place AND (a.gap = b.gap OR a.gap = 0 OR b.gap = 0)),
 s AS (SELECT place FROM f EXCEPT SELECT place FROM n),
-r AS (SELECT w.doc_id, w.i, w.raw, len(ws) < 10 OR s.place IS NOT NULL AS stays FROM w LEFT JOIN s ON s.place = w.place),
+r AS (SELECT w.doc_id, w.i, w.raw, len(ws) = 0 OR s.place IS NOT NULL AS stays FROM w LEFT JOIN s ON s.place = w.place),
 g AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_removed, coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (stays), '') AS t FROM r GROUP BY 1)
 SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_removed AS BIGINT) AS n_removed, CAST(length(t) AS BIGINT) AS text_chars, sha256(t) AS text_sha256 FROM g
 """

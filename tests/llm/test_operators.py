@@ -247,11 +247,21 @@ def test_short_lines_are_deduplicated(spark, documents):
     texts = ["Menu\n\none two three four five\n" + ten, "menu\n \none two three four six\nx y", "x z\nX  y\n" + ten[:-2] + "\na b c d e f g h x i", "one two three four five six seven\none two\na b c d"]
     texts += [documents[k] for k in sorted(documents)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(docs).collect()}
+    found = {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(docs).select("doc.*").collect()}
     assert found[1] == " \nx y" and found[2] == "x z"
     assert [found[k] for k in range(len(texts))] == brute_lines(texts)
 
 
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    rows = [(1, "a b\nc", 77, 5, "x", 1), (2, "A  B\nd", 78, 6, None, 2), (3, None, 79, 7, "z", 3), (4, " a b", 80, 8, "", 4), (None, "c\n\nc", 81, 9, "n", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines long, n_removed long, doc string, kept long")
+    found = {r["n_lines"]: r for r in line_dedup.filter_documents(docs).collect()}
+    assert {k: r["text"] for k, r in found.items()} == {77: "a b", 78: "d", 79: None, 81: "c\n"}
+    assert all(tuple(found[r[2]])[2:] == r[2:] for r in rows if r[2] in found)
+    counts = {r["doc"]["n_lines"]: (r["n_lines"], r["n_removed"]) for r in line_dedup.deduplicated(docs).collect()}
+    assert counts == {77: (2, 1), 78: (2, 1), 79: (0, 0), 80: (1, 1), 81: (3, 1)}
+
+
 def brute_classes(texts, size, percent):
     sets = {}
     for d, t in texts.items():
