@@ -18,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_url_filter": url_filter.OP1_SQL,
     "op2_decontaminate": decontaminate.OP2_SQL,
     "op7_near_dedup": near_dedup.OP7_SQL,
     "op9_chat_format": chat.OP9_SQL,

@@ -64,6 +64,38 @@ def test_distrust_walks_back_and_trust_walks_on(spark):
     assert found[2]["trust"] > 0 and found[3]["distrust"] > 0 and found[5]["host"] == found[5]["path"] == ""
 
 
+def test_ranks_against_a_linear_solver(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    names = [f"h{i}.site{i % 40}.net" for i in range(200)]
+    links = Counter((int(a), int(b)) for a, b in zip(rng.integers(0, 150, 900), rng.integers(0, 200, 900)) if a != b)  # 50 hosts link to nothing
+    links.update({(i, 7): 1 for i in range(100) if i != 7})  # a hub
+    edges = spark.createDataFrame([("trust", names[a], names[b], n) for (a, b), n in links.items()], "walk string, src string, dst string, links long")
+    seeds = {0: 3.0, 7: 1.0, 160: 2.0, 199: 0.5}
+    found = url_filter.propagate(edges, spark.createDataFrame([("trust", names[i], m) for i, m in seeds.items()], "walk string, host string, mass double"), damping=0.5)
+    found = {r["host"]: r["mass"] for r in found.collect()}
+    move, start = np.zeros((200, 200)), np.zeros(200)
+    start[list(seeds)] = list(seeds.values())
+    for (a, b), n in links.items():
+        move[b, a] = n
+    ends = move.sum(0) == 0
+    move = np.divide(move, move.sum(0), out=np.zeros_like(move), where=~ends)
+    move[:, ends] = (start / start.sum())[:, None]  # from hosts without links mass goes back to the seeds
+    exact = np.linalg.solve(np.eye(200) - 0.5 * move, 0.5 * start)
+    assert all(math.isclose(found.get(n, 0.0), x, rel_tol=1e-5, abs_tol=1e-6) for n, x in zip(names, exact)) and sum(found.values()) > 6.4
+    none = url_filter.propagate(edges, spark.createDataFrame([], "walk string, host string, mass double"))
+    assert none.collect() == []
+
+
+def test_domains_pass_verdicts_on(spark):
+    pages = [(1, "http://a.shop.com/de/1", ""), (2, "http://shop.com/x", None), (3, "http://b.shop.com/y", ""), (4, "http://other.net/", "")]
+    found = {r["page_id"]: r["verdict"] for r in url_filter.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), url_filter.RULES).collect()}
+    assert found == {1: "block", 2: "block", 3: "block", 4: "allow"}
+    clash = spark.createDataFrame([(1, "http://a.org/", "", "x", 2)], "page_id long, url string, html string, host string, mass long")
+    assert url_filter.judge(clash, url_filter.RULES).count() == 1 and url_filter.judge(clash.where("false"), url_filter.RULES).count() == 0
+
+
 def test_a_chain_behind_one_of_many_seeds_is_walked_to_its_end(spark):
     seeds = spark.range(12_000).selectExpr("id as page_id", "concat('http://s', id, '.com/de/') as url", "'' as html")
     chain = [(20_000 + i, f"http://c{i}.net/", f'<a href="http://{to}/">x</a>') for i, to in enumerate(("s0.com", "c0.net", "c1.net"))]
@@ -223,6 +255,22 @@ def test_chat_log_is_folded(spark):
     assert [tuple(t) for t in found[2]["turns"]] == [("", "")]
 
 
+def test_awkward_chats(spark):
+    schema = "conv_id long, turn long, role string, text string, sub long, seq string, kind string"
+    rows = [(1, 0, "user", "héllo ☃ wörld", 9, "x", "y"), (1, 1, None, None, 9, "x", "y"), (1, None, "assistant", "no turn", 9, "x", "y"), (1, 1, "assistant", "", 9, "x", "y"), (1, 1, "assistant", "", 9, "x", "y"), (None, 0, "a:b#", "\\c<", 9, "x", "y"), (2, 2, "assistant", "word " * 50_000, 9, "x", "y")]
+    table = spark.createDataFrame(rows, schema)
+    log = chat.events_of(table)
+    assert {r["kind"] for r in log.select("kind").distinct().collect()} == {"start", "delta", "edit", "regenerate"} and log.count() == 4 * 4 + 3 * 5
+    found = {r["conv_id"]: r for r in chat.read_back(chat.render(chat.fold_messages(log))).collect()}
+    assert [tuple(t) for t in found[1]["turns"]] == [("assistant", "no turn"), ("user", "héllo ☃ wörld"), ("", ""), ("assistant", ""), ("assistant", "")]
+    assert found[1]["loss_texts"] == ["no turn", "", ""] and [tuple(t) for t in found[None]["turns"]] == [("a:b#", "\\c<")]
+    assert found[2]["loss_texts"] == ["word " * 50_000]
+    equal = [(1, 0, 0, 1, "start", "user", "x"), (1, 0, 0, 1, "delta", None, "b"), (1, 0, 0, 1, "delta", None, "a")]
+    events = "conv_id long, turn long, sub long, seq long, kind string, role string, text string"
+    assert [r["text"] for r in chat.fold_messages(spark.createDataFrame(equal, events)).collect()] == ["x"]  # start sorts after delta
+    assert chat.render(chat.fold_messages(spark.createDataFrame([], events))).collect() == []
+
+
 def brute_lines(texts):
     """Texts without the lines that an earlier one equals, or nearly equals from five words on."""
     lines = [(k, i, tuple(re.split("[\x20\x09-\x0D]+", x.strip(" \t\x0b\x0c\r").lower()))) for k, t in enumerate(texts) for i, x in enumerate(t.split("\n"))]
