@@ -11,7 +11,8 @@ from its runs, and the fold and the escaping never see more than one message.
 
 Defined cases: null roles and texts are empty; null conv_ids and turns are keys like others, nulls first; an event log
 without rows gives no conversation; a message whose log begins with a delta starts empty; events with equal seq are
-ordered by kind and text; columns beyond those named are ignored.
+ordered by kind and text; columns beyond those named are ignored. A conversation is one string at the end, so one of
+more than two gigabytes can't be formatted.
 """
 
 from __future__ import annotations
@@ -83,9 +84,23 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 
 def events_of(rows: DataFrame) -> DataFrame:
-    """A table of (conv_id, turn, role, text) as a log with one event per row; rows of one turn follow each other by role and text."""
+    """A table of (conv_id, turn, role, text) as the log of a chat that streamed it; rows of one turn follow each other by role and text.
+
+    Each message starts with a draft that grows by a delta and is then set aside: in even turns by a regeneration, which
+    streams the text in three parts, in odd and null turns by an edit, to which the last part is added. Only the fold in
+    order of seq gives the text back; roles stand in the first event alone.
+    """
     tied = rows.groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(F.struct("role", "text"))).alias("rows"))
-    return tied.select("conv_id", "turn", F.posexplode("rows").alias("sub", "row")).select("conv_id", "turn", "sub", F.lit(0).alias("seq"), F.lit("start").alias("kind"), "row.role", "row.text")
+    row = tied.select("conv_id", "turn", F.posexplode("rows").alias("sub", "row")).select("conv_id", "turn", "sub", "row.role", F.coalesce("row.text", F.lit("")).alias("text"))
+    third = F.floor(F.length("text") / 3).cast("int")
+    part = lambda begin, size: F.substring(F.col("text"), begin + 1, size)
+    event = lambda seq, kind, text, role=None: F.struct(F.lit(seq).alias("seq"), F.lit(kind).alias("kind"), (F.lit(None).cast("string") if role is None else role).alias("role"), text.alias("text"))
+    draft = [event(0, "start", part(third, third), F.col("role")), event(1, "delta", F.lit(" (draft)"))]
+    last = event(4, "delta", part(2 * third, F.length("text")))
+    again = F.array(last, *draft, event(3, "delta", part(third, third)), event(2, "regenerate", part(F.lit(0), third)))
+    edited = F.array(last, *draft, event(3, "edit", part(F.lit(0), 2 * third)))
+    log = row.select("conv_id", "turn", "sub", F.explode(F.when(F.col("turn") % 2 == 0, again).otherwise(edited)).alias("e"))
+    return log.select("conv_id", "turn", "sub", "e.*")
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
