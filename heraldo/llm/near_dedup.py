@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import persisted, slices, table
@@ -172,8 +172,8 @@ def confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, size: int, pe
     return persisted(likely.join(text("a"), "a").join(text("b"), "b").mapInArrow(_confirm(size, percent), "a long, b long"), "links")
 
 
-def _prefixes(size: int, percent: int):
-    """The first shingles of each (centre, rep) row in an order that puts those which the centre lacks first."""
+def _strays(size: int, percent: int):
+    """Of each (centre, rep) row the shingles that the centre lacks, and of its others as many as fill the prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,33 +182,43 @@ def _prefixes(size: int, percent: int):
                 docs, hashes = shingle_sets(part.column("text"), size)
                 of_centre, known = shingle_sets(part.column("text_centre"), size)
                 ends, centre_ends = (np.searchsorted(d, np.arange(part.num_rows + 1)) for d in (docs, of_centre))
-                row, n, pos, token = [], [], [], []
+                row, n, shared, token = [], [], [], []
                 for i in range(part.num_rows):
                     own = hashes[ends[i] : ends[i + 1]]
                     common = np.isin(own, known[centre_ends[i] : centre_ends[i + 1]], assume_unique=True)
-                    first = np.concatenate([own[~common], own[common]])[: len(own) - -(-percent * len(own) // 100) + 1]
-                    row += [i] * len(first)
-                    n += [len(own)] * len(first)
-                    pos += range(len(first))
-                    token.append(first)
+                    strange = own[~common]
+                    fill = own[common][: max(0, _prefix(len(own), percent) - len(strange))]
+                    row += [i] * (len(strange) + len(fill))
+                    n += [len(own)] * (len(strange) + len(fill))
+                    shared += [False] * len(strange) + [True] * len(fill)
+                    token += [strange, fill]
                 kept = part.select(["centre", "rep", "own", "outside"]).take(pa.array(row, pa.int64()))
                 tokens = np.concatenate(token).view(np.int64) if token else np.zeros(0, np.int64)
-                yield pa.record_batch([*kept.columns, pa.array(n, pa.int32()), pa.array(pos, pa.int32()), pa.array(tokens)], names=["centre", "rep", "own", "outside", "n", "pos", "token"])
+                yield pa.record_batch([*kept.columns, pa.array(n, pa.int32()), pa.array(shared, pa.bool_()), pa.array(tokens)], names=["centre", "rep", "own", "outside", "n", "shared", "token"])
 
     return run
 
 
+def _prefix(n: int, percent: int) -> int:
+    """How many of n shingles, in any order, hold one that a set shares which reaches the threshold."""
+    return n - -(-percent * n // 100) + 1
+
+
 def _rest(placed: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs (a, b) of one centre's classes, one of them outside the centre's component, that may reach the threshold.
 
     An exact prefix join: in any one order of shingles, the first one that two sets share stands so early in both that
     the rest of either set can still hold the overlap that the threshold asks for. The order puts what the centre lacks
-    first, so that a class which strayed from its centre meets only those that strayed with it.
+    first, and of that what fewest of the group's classes hold, so that a passage which many of them share pairs none.
     """
     open_groups = placed.where("outside").select("centre").distinct()
     text = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
     rows = placed.join(open_groups, "centre", "left_semi").join(text("rep"), "rep").join(text("centre"), "centre")
-    tokens = persisted(rows.mapInArrow(_prefixes(size, percent), "centre long, rep long, own long, outside boolean, n int, pos int, token long"), "prefixes")
+    tokens = persisted(rows.mapInArrow(_strays(size, percent), "centre long, rep long, own long, outside boolean, n int, shared boolean, token long"), "strays")
+    common = tokens.where("not shared").groupBy("centre", "token").agg(F.count("*").alias("held"))
+    order = Window.partitionBy("centre", "rep").orderBy("shared", "held", "token")  # one document's shingles
+    placed_tokens = tokens.join(common, ["centre", "token"], "left").withColumn("pos", F.row_number().over(order) - 1)
+    tokens = persisted(placed_tokens.where(F.expr(f"pos <= n - ceil({percent} * n / 100)")).drop("held", "shared"), "prefixes")
     x, y = tokens.where("outside").alias("x"), tokens.alias("y")
     fits = F.expr(f"x.centre = y.centre and x.token = y.token and x.own <> y.own and {100 + percent} * least(x.n - x.pos, y.n - y.pos) >= {percent} * (x.n + y.n)")
     return x.join(y, fits).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
@@ -241,8 +251,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     large = members.where(F.col("c") > SMALL).select("band", "rep")
     star = large.join(centres, "band").where("rep <> centre").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
     tried = persisted(pairs.union(star).distinct(), "pairs")
-    texts = one.groupBy("doc_id").agg(F.max("text").alias("text")) if False else one
-    links = confirmed(tried, reps, texts, shingle, percent)
+    links = confirmed(tried, reps, one, shingle, percent)
     found = components(links)
 
     placed = large.join(centres, "band").where("rep <> centre").select("centre", "rep").distinct()
@@ -250,8 +259,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     middle = found.select(F.col("node").alias("centre"), F.col("component").alias("main"))
     placed = persisted(placed.join(middle, "centre", "left").select("centre", "rep", "own", (F.col("own") != F.coalesce("main", "centre")).alias("outside")), "placed")
     if placed.where("outside").limit(1).count():
-        rest = _rest(placed, texts, shingle, percent).join(tried, ["a", "b"], "left_anti")
-        more = confirmed(rest, reps, texts, shingle, percent)
+        rest = _rest(placed, one, shingle, percent).join(tried, ["a", "b"], "left_anti")
+        more = confirmed(rest, reps, one, shingle, percent)
         if more.limit(1).count():
             found = components(links.unionByName(more))
 
