@@ -25,16 +25,16 @@ def match(spark, stored, candidate, same_as=None, announced=(), post="p2"):
     [
         (event("s", start="20:00"), event("c", "Otra cosa", start="20:00"), {}, (2, "s")),
         (event("s", start="20:00"), event("c", start="21:00"), {}, None),
-        (event("s", "Salsoteca DC - Acere"), event("c", "Acere"), {}, (2, "s")),
-        (event("s", "Taller con Juan"), event("c", "Social con Juan"), {}, None),
-        (event("s", "Mambo Congress", event_type="congress", end_date=DAY + dt.timedelta(2)), event("c", "Mambo", event_type="party"), {"same_as": "s"}, None),
-        (event("s"), event("c", "Zafra"), {"same_as": "s"}, (1, "s")),
-        (event("s", start="18:00"), event("c", "Zafra", start="23:00"), {"announced": ["s"]}, (3, "s")),
-        (event("s", "Tour Calena", account="dos", venue="Distrito", start="20:00"), event("c", "Gran Tour", venue="Distrito Social", start="20:00"), {}, (4, "s")),
+        (event("s", "Rincón Latino - Yemayá"), event("c", "Yemayá"), {}, (2, "s")),
+        (event("s", "Taller con Ramiro"), event("c", "Social con Ramiro"), {}, None),
+        (event("s", "Timba Congress", event_type="congress", end_date=DAY + dt.timedelta(2)), event("c", "Timba", event_type="party"), {"same_as": "s"}, None),
+        (event("s"), event("c", "Lucero"), {"same_as": "s"}, (1, "s")),
+        (event("s", start="18:00"), event("c", "Lucero", start="23:00"), {"announced": ["s"]}, (3, "s")),
+        (event("s", "Tour Sabrosura", account="dos", venue="Patio Sur", start="20:00"), event("c", "Gran Tour", venue="Patio Sur Social", start="20:00"), {}, (4, "s")),
         (event("s", "Halloween Party", account="dos"), event("c", "Halloween Party"), {}, None),
         (event("s"), event("c", date=DAY + dt.timedelta(1)), {"same_as": "s"}, None),
         (event("s"), event("c"), {"post": "p1"}, None),
-        (event("s", "Intensivo Mambo", end_date=DAY + dt.timedelta(14), sessions=[(DAY, "14:00", None), (DAY + dt.timedelta(7), "14:00", None)]), event("c", "Mambo sesión 2", date=DAY + dt.timedelta(7)), {}, (2, "s")),
+        (event("s", "Intensivo Timba", end_date=DAY + dt.timedelta(14), sessions=[(DAY, "14:00", None), (DAY + dt.timedelta(7), "14:00", None)]), event("c", "Timba sesión 2", date=DAY + dt.timedelta(7)), {}, (2, "s")),
     ],
 )
 def test_the_stored_event_that_a_candidate_is(spark, stored, candidate, more, expected):

@@ -3,32 +3,39 @@
 import pytest
 from pyspark.sql import functions as F
 
+from heraldo.functions import text
 from heraldo.functions.cancellation import says_cancelled
 from heraldo.operators import answers
 
 OFF = [
-    "Evento CANCELADO ¿Quieres tu reembolso? Escríbenos",
-    "Hola\nSe aplaza el social de hoy",
-    "Se cancela por lluvia, si ya pagaste te devolvemos el dinero",
-    "Sí, cancelamos el taller",
-    "Hemos decidido posponer la fiesta.",
-    "Entrada: se cancela el social",
-    "The party is postponed!",
-    "Se cancela el día de hoy",
+    "Aviso: la clase del jueves queda APLAZADA. Nos vemos pronto",
+    "Última hora\nSe suspende la milonga por falta de luz",
+    "Se cancela por el paro; si reservaste, tu cupo sigue en pie",
+    "Con pena, postergamos el campamento",
+    "Nos vimos obligados a reprogramar la muestra!",
+    "Cover: se cancela la rumba",
+    "Tonight's class was cancelled",
+    "Se cancela el día de mañana",
+    "Si bien llovió poco, suspendemos la práctica",
+    "La velada no se llevará a cabo",
+    "¿Vienes? El concierto fue pospuesto",
 ]
 ON = [
     None,
     "",
-    "La entrada se cancela en la puerta",
-    "Inversión: $50.000. Se cancela el día del taller",
-    "Se cancelan 20 mil al ingresar",
-    "El social NO se cancela por la lluvia",
-    "No se aplaza ni se cancela",
-    "Si llueve, el taller se aplaza",
-    "Se aplaza si llueve",
-    "¿Se cancela por la lluvia?",
-    "En caso de lluvia se aplaza",
-    "Política de cancelación",
+    "El valor se cancela en taquilla",
+    "Aporte 35k. Se cancela el día de la función",
+    "Se cancela a 25.000 por persona",
+    "Se cancelan solo 40 mil pesos",
+    "Ya se canceló tu inscripción",
+    "La práctica no fue suspendida",
+    "Ni se aplaza ni se suspende",
+    "Si no hay quórum, la clase se pospone",
+    "Se reprograma en caso de tormenta",
+    "Se suspende si falla el sonido",
+    "¿Se aplaza la velada?",
+    "Cancelaciones hasta el lunes",
+    "La mensualidad de mayo se cancela por Nequi",
 ]
 
 
@@ -38,6 +45,12 @@ def test_cancellations(spark, texts, off):
     assert [r["t"] for r in rows if r["off"] != off] == []
 
 
+def test_contacts(spark):
+    cases = {"@la.sala_1": "@la.sala_1", "@con espacio": None, "sala.com.co/agenda?x=1": "sala.com.co/agenda?x=1", "https://sala.co": "https://sala.co", "www..co": None, "Wasap: +57 300 123 4567": "WhatsApp +57 300 123 4567", "whats app 3001234567": "WhatsApp 3001234567", "tel (601) 555-1234": "(601) 555-1234", "ext 123": None, "": None}
+    rows = spark.createDataFrame([(k, v) for k, v in cases.items()], "t string, want string").select("t", "want", text.contact(F.col("t")).alias("got")).collect()
+    assert [(r["t"], r["got"]) for r in rows if r["got"] != r["want"]] == []
+
+
 def test_answers_go_back_to_their_posts(spark):
     posts = [(1, 0, 2), (1, 1, 1), (1, 2, 0), (1, 3, 1), (1, 4, 1), (2, 0, 1)]
     told = [
