@@ -8,7 +8,8 @@ payload are JSON objects with an algorithm named. Spans are code points, end exc
 An Arrow regular expression first tells which texts can hold anything at all; only those are searched in Python.
 
 Defined cases: null and empty texts have no spans; overlapping spans of different kinds are all reported; rows are
-scanned one by one, so repeated rows get equal results; other columns are ignored.
+scanned one by one, so repeated rows get equal results; an empty table gives no rows; a text is scanned in time in
+proportion to its length, however long; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,8 +34,11 @@ MAY_HOLD = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS, _HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]{24,}")
 _PEM = re.compile(r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----([A-Za-z0-9+/=\s]+?)-----END [A-Z ]*PRIVATE KEY-----", re.ASCII)
-_BASE64, _LONG_HEX = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}"), re.compile(r"[0-9A-Fa-f]{48,}")
-_JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+_BASE64, _LONG_HEX = re.compile(r"[A-Za-z0-9+/_-]{40,}+={0,2}"), re.compile(r"[0-9A-Fa-f]{48,}+")
+#: The same over lines of 40 characters or more and, maybe, a shorter last one.
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/])((?:[A-Za-z0-9+/]{40,}+={0,2}\r?\n)++)([A-Za-z0-9+/]++={0,2})?+")
+#: Where a token begins, so that no long run is tried from within.
+_JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]++)\.([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]*+)")
 
 
 def decode_base64(text: str) -> bytes | None:
@@ -85,15 +89,24 @@ def is_der_key(data: bytes) -> bool:
 
 
 def is_openssh_key(data: bytes) -> bool:
+    """Whether data is an OpenSSH key: cipher, key derivation and its options, public keys, private ones, and no more."""
     magic = b"openssh-key-v1\0"
     if not data.startswith(magic):
         return False
     at = len(magic)
-    for _ in range(3):  # cipher, key derivation, its options
-        if at + 4 > len(data):
-            return False
-        at += 4 + int.from_bytes(data[at : at + 4], "big")
-    return at + 4 <= len(data) and 1 <= int.from_bytes(data[at : at + 4], "big") <= 16
+
+    def strings(n: int) -> bool:
+        nonlocal at
+        for _ in range(n):
+            if at + 4 > len(data):
+                return False
+            at += 4 + int.from_bytes(data[at : at + 4], "big")
+        return at <= len(data)
+
+    if not strings(3) or at + 4 > len(data):
+        return False
+    keys, at = int.from_bytes(data[at : at + 4], "big"), at + 4
+    return 1 <= keys <= 16 and strings(keys) and at + 4 < len(data) and strings(1) and at == len(data)
 
 
 def _json_object(text: str) -> dict | None:
@@ -111,6 +124,19 @@ def _key_kind(data: bytes | None) -> str | None:
     return None
 
 
+def _key_starts(run: str) -> Iterator[int]:
+    """Where in a base64 run a key may begin: at its start, and after a slash if the DER length there fits the rest."""
+    yield 0
+    plain = run.rstrip("=")
+    for m in re.finditer("/(?=M)", plain):
+        head = decode_base64(plain[m.end() : m.end() + 8])
+        if head and len(head) == 6 and head[0] == 0x30:
+            n = head[1] & 0x7F if head[1] >= 0x80 else 0
+            size = int.from_bytes(head[2 : 2 + n], "big") if n else head[1]
+            if n <= 4 and 2 + n + size == (len(plain) - m.end()) * 3 // 4:
+                yield m.end()
+
+
 def scan(text: str) -> list[tuple[int, int, int]]:
     """Spans (start, number of the kind in KINDS, end), in order."""
     found = [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 6]
@@ -118,8 +144,15 @@ def scan(text: str) -> list[tuple[int, int, int]]:
     found += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     found += [(m.start(), 3, m.end()) for m in _PEM.finditer(text) if _key_kind(decode_base64(m[2]))]
     for m in _BASE64.finditer(text):
-        if kind := _key_kind(decode_base64(m[0])):
-            found.append((m.start(), KINDS.index(kind), m.end()))
+        for at in _key_starts(m[0]):
+            if kind := _key_kind(decode_base64(m[0][at:])):
+                found.append((m.start() + at, KINDS.index(kind), m.end()))
+                break
+    for m in _WRAPPED.finditer(text):
+        for lines in (m[0], m[1].rstrip()):  # what follows the last whole line may be prose
+            if "\n" in lines and (kind := _key_kind(decode_base64(lines))):
+                found.append((m.start(), KINDS.index(kind), m.start() + len(lines)))
+                break
     for m in _LONG_HEX.finditer(text):
         if len(m[0]) % 2 == 0 and (kind := _key_kind(bytes.fromhex(m[0]))):
             found.append((m.start(), KINDS.index(kind), m.end()))

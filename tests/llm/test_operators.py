@@ -127,6 +127,27 @@ def test_secrets_by_structure():
     assert [secrets.KINDS[k] for _, k, _ in secrets.scan(f'{part(chr(123) + chr(34) + "alg" + chr(34) + ":" + chr(34) + "HS256" + chr(34) + "}")}.{part("{}")}.abc')] == ["jwt"]
 
 
+def test_secrets_of_odd_shapes():
+    import time
+
+    key = b"\x30\x2e\x02\x01\x00\x30\x05\x06\x03\x2b\x65\x70\x04\x22\x04\x20" + bytes(range(32))
+    long = b"\x30\x82\x00\x90" + key[2:14] + b"\x04\x81\x81" + bytes(129)
+    long = long[:2] + (len(long) - 4).to_bytes(2, "big") + long[4:]
+    kinds = lambda text: [secrets.KINDS[k] for _, k, _ in secrets.scan(text)]
+    plain = base64.b64encode(key).decode()
+    assert kinds(f"at /srv/keys/{plain} end") == ["der"] and kinds(f"x {plain[:-3]}") == []
+    lines = "\n".join(base64.b64encode(long).decode()[i : i + 64] for i in range(0, 200, 64))
+    assert kinds(f"see:\n{lines}\nend") == ["der"]
+    part = lambda x: len(x).to_bytes(4, "big") + x
+    ssh = b"openssh-key-v1\0" + part(b"none") + part(b"none") + part(b"") + (1).to_bytes(4, "big") + part(b"p" * 51) + part(b"k" * 136)
+    assert secrets.is_openssh_key(ssh) and not any(secrets.is_openssh_key(x) for x in (ssh[:-1], ssh[:-140], ssh + b"x", ssh[:60]))
+    assert kinds(base64.b64encode(ssh).decode()) == ["openssh"]
+    began = time.time()
+    for text in ("eyJ" * 350_000, "eyJ." * 250_000, "M/" * 500_000, "-----BEGIN PRIVATE KEY-----\n" * 35_000, "A" * 40 + "\n" + ("B" * 40 + "\n") * 25_000, "password=" * 110_000):
+        secrets.scan(text)
+    assert time.time() - began < 12
+
+
 def test_quality_base(spark, documents):
     for r in rows(spark, "op4_quality_rules"):
         t = documents[r["doc_id"]]
