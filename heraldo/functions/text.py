@@ -9,9 +9,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Letters with marks, and the letters they fold to.
-ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüñçýÿ"
-UNACCENTED = "aaaaaaeeeeiiiiooooouuuuncyy"
+
+def _plain(char: str) -> str:
+    """A character decomposed for compatibility, without marks, in lower case."""
+    return "".join(c for c in unicodedata.normalize("NFKD", char).casefold() if not unicodedata.combining(c))
+
+
+#: Letters and digits that stand for one of ASCII, and those that stand for several, from Unicode's own tables.
+_FOLDED = {c: p for c in map(chr, [*range(0x80, 0x2C00), *range(0xA640, 0xD800), *range(0xF900, 0x10000), *range(0x1D400, 0x1D800), *range(0x1F100, 0x1F200)]) if (p := _plain(c)) != c and p.isascii() and p.isalnum()}
+_SINGLE = {c: p for c, p in _FOLDED.items() if len(p) == 1}
+_SEVERAL = {c: p for c, p in _FOLDED.items() if len(p) > 1 and c in "ßﬀﬁﬂﬃﬄﬅﬆĳǆǉǌ"}
 
 # Words that every title shares, and kinds and occasions of events.
 COMMON_WORDS = (
@@ -31,8 +38,14 @@ WHATSAPP = "whatsapp whats wpp wsp wa wasap wassap guasap".split()
 
 
 def fold(text: Column) -> Column:
-    """Lower case without marks, spaces collapsed; JVM-side, for Latin letters. See fold_any for all of Unicode."""
-    plain = F.translate(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), ACCENTED, UNACCENTED)
+    """Lower case without marks, spaces collapsed, JVM-side; letters of other blocks that look like Latin ones are Latin.
+
+    fold_any also takes apart what stands for several characters, ligatures aside.
+    """
+    plain = F.lower(text)
+    for char, several in _SEVERAL.items():
+        plain = F.replace(plain, F.lit(char), F.lit(several))
+    plain = F.translate(plain, "".join(_SINGLE), "".join(_SINGLE.values()))
     return F.btrim(F.regexp_replace(F.regexp_replace(plain, r"\p{M}+", ""), r"\s+", " "))
 
 

@@ -24,7 +24,7 @@ KIND_WORDS = {
     "show": "show gala muestra",
 }
 #: Fields whose newest value wins when posts of one event are merged; of the others the first known one stays.
-UPDATABLE = ("date", "end_date", "start_time", "end_time", "prices")
+UPDATABLE = ("date", "end_date", "weekday", "start_time", "end_time", "prices")
 
 
 def normalized(events: DataFrame, synonyms: dict[str, str]) -> DataFrame:
@@ -188,7 +188,13 @@ def not_hidden(candidates: DataFrame, hidden: DataFrame) -> DataFrame:
 def merged(posts: DataFrame, key: str, published: str, fields: list[str]) -> DataFrame:
     """One row per event from its posts' readings: of UPDATABLE fields the newest known value, of others the first known.
 
-    A grouped aggregate, combined before the shuffle: the outcome of merging one-day posts in order of publication.
+    First and last day come from one post, the newest with a first day. A grouped aggregate, combined before the shuffle: the
+    outcome of merging one-day posts in order of publication; merging.merged_in_order has the rules for longer events.
     """
     pick = lambda f: state.newest_known if f in UPDATABLE else state.first_known
-    return posts.groupBy(key).agg(*[pick(f)(F.col(f), F.col(published)).alias(f) for f in fields])
+    days = [f for f in ("date", "end_date") if f in fields] if "date" in fields else []
+    found = [pick(f)(F.col(f), F.col(published)).alias(f) for f in fields if f not in days]
+    if days:
+        found.append(F.max_by(F.struct(*days), F.when(F.col("date").isNotNull(), F.col(published))).alias("days"))
+    out = posts.groupBy(key).agg(*found)
+    return out.select(key, *[F.col("days")[f].alias(f) if f in days else F.col(f) for f in fields])

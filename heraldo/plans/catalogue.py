@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heraldo.plans import entities, reports, scheduling, series
+from heraldo.functions import dates
+from heraldo.plans import announced, entities, reports, scheduling, series
 
 
 def occurrence_weekend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as spans of one to seven days; the first day of each on the weekend of 17 to 19 January 1997."""
-    spans = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.to_date("o_orderdate").alias("first"), (F.col("o_orderkey") % 7).cast("int").alias("more"))
-    days = spans.select("o_orderkey", F.explode(F.sequence("first", F.date_add("first", F.col("more")))).alias("day"))
-    return days.where("day between date'1997-01-17' and date'1997-01-19'").groupBy("o_orderkey").agg(F.min("day").alias("day"))
+    first = F.to_date("o_orderdate")
+    spans = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", dates.days_of(first, F.date_add(first, (F.col("o_orderkey") % 7).cast("int"))).alias("days"))
+    weekend = dates.weekend(F.lit("1997-01-15").cast("date"))
+    return spans.select("o_orderkey", dates.occurrence(F.col("days"), weekend["first"], weekend["last"]).alias("day")).where("day is not null")
 
 
-QUERIES = {"occurrence_weekend": occurrence_weekend} | entities.QUERIES | reports.QUERIES | series.QUERIES | scheduling.QUERIES
+QUERIES = {"occurrence_weekend": occurrence_weekend} | entities.QUERIES | reports.QUERIES | series.QUERIES | scheduling.QUERIES | announced.QUERIES
 
 ORACLE_SQL = {
     "occurrence_weekend": """
@@ -23,4 +25,4 @@ SELECT o_orderkey, min(day) AS day FROM (
   SELECT o_orderkey, CAST(unnest(generate_series(CAST(o_orderdate AS DATE), CAST(o_orderdate AS DATE) + CAST(o_orderkey % 7 AS INTEGER), INTERVAL 1 DAY)) AS DATE) AS day FROM orders)
 WHERE day BETWEEN DATE '1997-01-17' AND DATE '1997-01-19' GROUP BY 1
 """
-} | entities.ORACLE_SQL | reports.ORACLE_SQL | series.ORACLE_SQL | scheduling.ORACLE_SQL
+} | entities.ORACLE_SQL | reports.ORACLE_SQL | series.ORACLE_SQL | scheduling.ORACLE_SQL | announced.ORACLE_SQL

@@ -54,3 +54,20 @@ def test_merged_fields(spark):
     rows = [("e", 1, "Flyer", None, "20:00"), ("e", 2, "Reminder", "Bar", "21:00"), ("e", 3, None, "Club", None)]
     posts = spark.createDataFrame(rows, "id string, published int, title string, venue string, start_time string")
     assert [tuple(r) for r in announcements.merged(posts, "id", "published", ["title", "venue", "start_time"]).collect()] == [("e", "Flyer", "Bar", "21:00")]
+
+
+def test_merged_days_go_together(spark):
+    rows = [("e", 1, "2026-10-01", "2026-10-03", "viernes"), ("e", 2, "2026-10-10", None, "sábado"), ("e", 3, None, "2026-10-30", None)]
+    posts = spark.createDataFrame(rows, "id string, published int, date string, end_date string, weekday string")
+    assert [tuple(r) for r in announcements.merged(posts, "id", "published", ["date", "end_date", "weekday"]).collect()] == [("e", "2026-10-10", None, "sábado")]
+
+
+def test_hidden_events_and_reasons(spark):
+    from pyspark.sql import functions as F
+
+    hidden = spark.createDataFrame([(*event("h", "Gala Ocaso", start="20:00"), 0, ["p1"])], STORED)
+    rows = [event("same", "Gala Ocaso", start="20:00"), event("other", "Gala Ocaso", date=DAY + dt.timedelta(3)), event("third", "Otra", account="tres")]
+    candidates = spark.createDataFrame([(*r, "p2", None, []) for r in rows], CANDIDATE)
+    assert {r["id"] for r in announcements.not_hidden(candidates, hidden).collect()} == {"other", "third"}
+    why = spark.createDataFrame([(True, None, "no"), (False, DAY, "yes")], "r boolean, d date, b string").select(announcements.unpublishable(F.col("r"), F.col("d"), F.col("b")).alias("w")).collect()
+    assert [r["w"] for r in why] == [["recurrente", "sin fecha", "fuera de Bogotá"], []]

@@ -29,6 +29,8 @@ def test_dates_and_times_are_real_or_null(spark):
 
 def test_fold_and_slug(spark):
     assert column(spark, ["  Salsa  CALEÑA ", "Straße", None], text.fold) == ["salsa calena", "strasse", None]
+    odd = ["Šokolāda", "𝗦𝗔𝗟𝗦𝗔 𝟐𝟎𝟐𝟔", "ﬁesta ﬀ", "Ｂａｃｈａｔａ", "ñandú ①", "Ørsted"]
+    assert column(spark, odd, text.fold) == column(spark, odd, text.fold_any)
     assert column(spark, ["𝗦𝗔𝗟𝗦𝗔 Única", None], text.fold_any) == ["salsa unica", None]
     assert column(spark, ["Noche de ¡Fiesta!", "a" * 60, "word " * 12], text.slug) == ["noche-de-fiesta", "a" * 50, "-".join(["word"] * 10)]
 
