@@ -30,6 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='heraldo-')}")
     return spark.sparkContext.getCheckpointDir()
 
@@ -42,12 +44,18 @@ def _delete(spark: SparkSession, path: str) -> None:
         pass
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A path of its own in the shared folder, deleted when the driver ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    atexit.register(_delete, spark, path)
+    return path
+
+
 def persisted(df: DataFrame, label: str) -> DataFrame:
     """df as a table written to the shared folder: lineage ends there, so a lost executor costs a re-read only."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_delete, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -12,8 +12,9 @@ of each. Everything else covers all documents.
 Encoding: a text's chunks between spaces are encoded apart (white space never lies within one of the tokenizer's words),
 each distinct chunk of a slice once, and letters with closing signs as letters and signs.
 
-Defined cases: null is the empty text, which is stored as the end id alone; equal doc_ids follow each other by text; a
-null doc_id comes first; an empty table gives an empty store; other columns are ignored.
+Defined cases: null is the empty text, which is stored as the end id alone; equal doc_ids follow each other by a hash
+of the text; a null doc_id comes first; an empty table gives an empty store; a very long text is encoded and compressed
+whole, in one task; columns of any other name are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -33,12 +33,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, slices, table, text_bytes
+from .common import scratch, slices, table, text_bytes
 
 END_ID = 2
 SAMPLE, SAMPLE_CHARS, DICT_BYTES, LEVEL = 2048, 8192, 64 << 10, 3
 PACK_BYTES, PARTITION_BYTES = 4 << 20, 32 << 20
 CACHE = 600_000
+BLOCK = 1024
 PACKS = "shard long, pack int, dict_sha256 string, width int, doc_ids array<long>, offsets array<long>, counts array<int>, payload binary"
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&]*)").fullmatch
 
@@ -154,7 +155,8 @@ def write_store(docs: DataFrame, definition: str, path: str) -> None:
             yield flush()
 
     n = max(spark.sparkContext.defaultParallelism, -(-text_bytes(texts) // PARTITION_BYTES))
-    ordered = texts.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    keyed = texts.withColumn("hash", F.xxhash64("text"))  # rows of one doc_id can lie in several partitions
+    ordered = keyed.repartitionByRange(n, "doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text").select("doc_id", "text")
     ordered.mapInArrow(pack, PACKS).write.option("compression", "none").parquet(f"{path}/packs")
 
 
@@ -165,8 +167,12 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     digest, dictionary = spark.read.parquet(f"{path}/dictionary").first()
     shared = spark.sparkContext.broadcast((digest, bytes(dictionary)))
     sizes = packs.select("shard", "pack", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
-    # one row per pack: a few per partition of the table, so this window orders a summary and no documents
-    starts = sizes.withColumn("base", F.sum("total").over(Window.orderBy("shard", "pack").rowsBetween(Window.unboundedPreceding, -1))).select("shard", "pack", F.coalesce("base", F.lit(0)).cast("long").alias("base"))
+    sizes = sizes.withColumn("block", F.floor(F.col("shard") / BLOCK))
+    before = lambda w: F.coalesce(F.sum("total").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    # one row for BLOCK partitions of the table, so the window over all of them orders next to nothing
+    blocks = sizes.groupBy("block").agg(F.sum("total").alias("total")).select("block", before(Window.orderBy("block")).alias("ahead"))
+    within = sizes.select("shard", "pack", "block", before(Window.partitionBy("block").orderBy("shard", "pack")).alias("base"))
+    starts = within.join(blocks, "block").select("shard", "pack", (F.col("ahead") + F.col("base")).alias("base"))
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest, dictionary = shared.value
@@ -190,6 +196,6 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         definition = file.read()
-    path = f"{shared_dir(spark)}/token-store-{uuid.uuid4().hex}"
+    path = scratch(spark, "token-store")
     write_store(table(spark, sf_dir, "documents"), definition, path)
     return read_store(spark, path)

@@ -164,6 +164,93 @@ def test_quality_base(spark, documents):
         assert not (failed and r["kept"])
 
 
+def brute_quality(text):
+    """The verdict of the quality rules, from lists of words and counters."""
+    w, chars = words(text), lambda ws: sum(map(len, ws))
+    total = chars(w)
+    grams = lambda n: [tuple(w[i : i + n]) for i in range(len(w) - n + 1)]
+
+    def inside(n):
+        found = Counter(grams(n))
+        return {j for i, g in enumerate(grams(n)) if found[g] > 1 for j in range(i, i + n)}
+
+    if len(w) < 50 or 100 * len(inside(3)) > 50 * len(w):
+        return False
+    for n, limit in ((2, 0.20), (3, 0.18), (4, 0.16)):
+        found = Counter(grams(n))
+        if max((c * chars(g) for g, c in found.items() if c > 1), default=0) / total > limit:
+            return False
+    for n, limit in ((5, 0.50), (6, 0.49), (7, 0.48), (8, 0.47), (9, 0.46), (10, 0.45)):
+        if chars([w[j] for j in inside(n)]) / total > limit:
+            return False
+    lines = [x for x in text.split("\n") if words(x)]
+    again = [x for i, x in enumerate(lines) if x in lines[:i]]
+    return len(again) <= 0.30 * len(lines) and chars(again) <= 0.30 * chars(lines)
+
+
+def test_quality_verdict(spark, documents):
+    kept = {r["doc_id"]: r["kept"] for r in rows(spark, "op4_quality_rules")}
+    assert kept == {d: brute_quality(t) for d, t in documents.items()} and set(kept.values()) == {True, False}
+
+
+def brute_clean(text, items):
+    """The text without passages of the items, or None if they are too much of it."""
+    found = [m for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))]
+    w = [m[0] for m in found]
+    hit = set()
+    for item in items:
+        size = min(13, len(item))
+        windows = {tuple(item[i : i + size]) for i in range(len(item) - size + 1)} if item else set()
+        hit |= {j for i in range(len(w) - size + 1) if size and tuple(w[i : i + size]) in windows for j in range(i, i + size)}
+    if hit and 20 * len(hit) >= len(w):
+        return None
+    out, at = "", 0
+    for j in sorted(hit):
+        if j - 1 not in hit:
+            out += text[at : found[j].start()]
+        at = found[j].end()
+    return out + text[at:]
+
+
+def test_pipeline_run_against_brute_force(spark, documents):
+    import numpy as np
+    import public_tokenizers
+    import tiktoken
+
+    kept = {d: t for d, t in sorted(documents.items()) if brute_quality(t)}
+    kept = {d: n for (d, t), n in zip(kept.items(), brute_lines(list(kept.values()))) if n == t or words(n)}
+    kept = {d: kept[d] for d, r in brute_classes(kept, 5, 80).items() if d == r}
+    items = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(r["text"])) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    kept = {d: c for d, t in kept.items() if (c := brute_clean(t, items)) is not None}
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    found = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, SMALL).collect()}
+    want = {d: (len(ids := own.encode_ordinary(t)), sha(np.array(ids, "<u4").tobytes()), sha(t)) for d, t in kept.items()}
+    assert found == want and 0 < len(found) < len(documents)
+
+
+def test_one_document_is_read_by_its_offsets(spark, tmp_path):
+    import hashlib as h
+
+    import numpy as np
+    import public_tokenizers
+    import zstandard
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        definition = file.read()
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    token_store.write_store(docs, definition, str(tmp_path / "s"))
+    digest, dictionary = spark.read.parquet(str(tmp_path / "s/dictionary")).first()
+    assert h.sha256(bytes(dictionary)).hexdigest() == digest
+    pack = spark.read.parquet(str(tmp_path / "s/packs")).orderBy("shard", "pack").first()
+    i = len(pack["doc_ids"]) // 2
+    frame = bytes(pack["payload"][pack["offsets"][i] : pack["offsets"][i + 1]])
+    ids = np.frombuffer(zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(bytes(dictionary))).decompress(frame), f"<u{pack['width']}")
+    text = docs.where(F.col("doc_id") == pack["doc_ids"][i]).first()["text"] or ""
+    assert pack["dict_sha256"] == digest and ids.tolist() == [*Tokenizer.from_str(definition).encode(text, add_special_tokens=False).ids, 2]
+
+
 def test_token_store_holds_the_library_s_ids(spark, documents):
     import numpy as np
     import public_tokenizers
