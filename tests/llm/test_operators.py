@@ -277,19 +277,20 @@ def test_lm_base(spark, documents):
         assert r["score"] < 0
 
 
-def test_context_trees_against_brute_force(spark, tmp_path):
-    depth, texts = 2, {0: "abab", 2: "abba", 3: "", 4: "ab"}
-    assert not any(lm_score.held_out(list(texts)))
-    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+@pytest.mark.parametrize("depth", [2, 4, 5])
+def test_context_trees_against_brute_force(spark, depth):
+    out = [i for i in range(99) if lm_score.held_out([i])[0]][:3]
+    texts = {0: "abab", 2: "abba ábé", 3: "", 4: "ab", None: "Abab☃", out[0]: "abé☃ zz", out[1]: "", out[2]: "abab abba"}
+    assert lm_score.held_out(list(texts)).tolist() == [False] * 5 + [True] * 3
     counts: dict = {}
     path = lambda byte: [((1 << i) | (byte >> (8 - i)), byte >> (7 - i) & 1) for i in range(8)]
 
     def steps(text):
-        data = text.encode() + bytes([lm_score.END_BYTE])
+        data = lower(text).encode() + bytes([lm_score.END_BYTE])
         for i, byte in enumerate(data):
             yield byte, [data[i - j] if i >= j else 0 for j in range(1, depth + 1)]
 
-    for text in texts.values():
+    for text in (t for i, t in texts.items() if i not in out):
         for byte, ctx in steps(text):
             for node, bit in path(byte):
                 for d in range(depth + 1):
@@ -304,6 +305,8 @@ def test_context_trees_against_brute_force(spark, tmp_path):
         return math.log(0.5 * math.exp(own) + 0.5 * math.exp(below))
 
     def zero(ctx, node, full):
+        if (ctx, node) not in counts:  # nor is anything below it
+            return 0.5
         a, b = counts[ctx, node]
         mine = (a + 0.5) / (a + b + 1)
         if len(ctx) == depth:
@@ -311,7 +314,7 @@ def test_context_trees_against_brute_force(spark, tmp_path):
         share = 0.5 * math.exp(kt(a, b) - weighted(ctx, node))
         return share * mine + (1 - share) * zero(tuple(full[: len(ctx) + 1]), node, full)
 
-    for r in lm_score.score(spark.read.parquet(str(tmp_path / "docs")), depth).collect():
+    for r in lm_score.score(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), depth).collect():
         want = 0.0
         for byte, ctx in steps(texts[r["doc_id"]]):
             for node, bit in path(byte):
