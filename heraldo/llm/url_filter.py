@@ -31,6 +31,7 @@ from .common import ascii_lower, persisted, table
 #: (verdict, host, path prefix)
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 DAMPING, ROUNDS, SHARE = 0.85, 20, 0.75
+EDGES_A_TASK = 500_000
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:https?:)?//([^/"'?#\s>]+)"""
 
@@ -72,11 +73,12 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     out = edges.groupBy("walk", "src").agg(F.sum("links").alias("total"))
     steps = persisted(edges.join(out, ["walk", "src"]).select("walk", "src", "dst", (F.col("links") / F.col("total")).alias("part")), "steps")
     state = seeds.select("walk", "host", "mass", F.col("mass").alias("fresh"))
+    tasks = 1 + steps.count() // EDGES_A_TASK  # a round of a small graph needn't be dealt out widely
     for _ in range(rounds):
         moving = state.where("fresh > 0")
         sent = moving.join(steps, (moving["host"] == steps["src"]) & (moving["walk"] == steps["walk"])).select(moving["walk"], F.col("dst").alias("host"), (damping * F.col("fresh") * F.col("part")).alias("mass"))
         rows = state.select("walk", "host", "mass", F.lit(0.0).alias("fresh")).unionByName(sent.withColumn("fresh", F.col("mass")))
-        state = persisted(rows.groupBy("walk", "host").agg(F.sum("mass").alias("mass"), F.sum("fresh").alias("fresh")), "mass")
+        state = persisted(rows.groupBy("walk", "host").agg(F.sum("mass").alias("mass"), F.sum("fresh").alias("fresh")).coalesce(tasks), "mass")
         if not state.where("fresh > 0").limit(1).count():
             break
     whole = seeds.groupBy("walk").agg(F.sum("mass").alias("all")).join(state.groupBy("walk").agg(F.sum("mass").alias("spread")), "walk")
