@@ -2,8 +2,8 @@
 
 A line's words (white space collapsed, lower case) are the unit; two lines are near if one word inserted, deleted or
 replaced turns one into the other (an edit bound of one word). A non-blank line is removed if an earlier line, by
-(doc_id, line number), is equal; one of NEAR_WORDS words or more also if an earlier such line is near. Under NEAR_WORDS one
-word is more than a fifth of a line, and any two lines of one word would be near.
+(doc_id, row, line number), is equal; one of NEAR_WORDS words or more also if an earlier such line is near. Under NEAR_WORDS,
+a parameter, one word is more than a fifth of a line: such lines are less than 0.8 alike, and any two of one word would be near.
 
 Equal lines first fall together by their hashes, with a pre-aggregated minimum of their places. Two near lines of
 LONG_WORDS words or more agree in their first or in their last ENDS words; distinct lines that share neither with another
@@ -12,12 +12,13 @@ LONG_WORDS words travel whole and take all their deletions. The variants with on
 ends are shared) are emitted as hashed keys, beside the line itself; equal keys meet, and the deleted positions and a
 second hash verify the edit distance: equal positions are a replacement, and a line met by another's variant lacks one
 word. Only the earliest place per key and per (key, position) is needed to decide, so a key that a third of all lines
-share is aggregated like any other, and pairs are never listed. Lines are told apart by 96 bits at least, variants by 128.
+share is aggregated like any other, and pairs are never listed. Lines are told apart by 96 bits at least, variants by two
+64-bit hashes of their words' 64-bit hashes.
 
-Defined cases: a null text stays null and has no lines; blank lines stay; rows with one doc_id are one document with
-several texts (a line number that stays in one of them stays in all); a null doc_id orders first; an empty table gives an
-empty one; a very long text is split where it stands, its lines being all that is held apart; columns of any name pass
-through, as a document's row stays one struct beside what is worked out.
+Defined cases: a null text stays null and has no lines; blank lines stay; each row has a number of its own and is judged by
+its own text, so rows of one doc_id, or of none, lose what an earlier one of them holds, in the table's order; a null doc_id
+orders first; an empty table gives an empty one; a very long text is split where it stands, its lines being all that is held
+apart; columns of any name pass through, as a document's row stays one struct beside what is worked out.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from .common import persisted, table
 
 NEAR_WORDS, LONG_WORDS = 5, 10
 ENDS = LONG_WORDS // 2
+PLACE = ["doc_id", "row", "line"]
 _BLANK = " \t\x0b\x0c\r"
 
 
@@ -45,34 +47,39 @@ def _long(normal: Column, least: int) -> Column:
     return F.length(F.substring_index(normal, " ", least - 1)) < F.length(normal)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, words) of the lines that aren't blank; words as one string."""
-    rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "raw")).where(F.col("raw") != "")
-    return rows.select("doc_id", "line", _normal(F.col("raw")).alias("words")).where(F.col("words") != "")
+def _numbered(docs: DataFrame) -> DataFrame:
+    """(row, doc): each row as a struct beside a number of its own, stored so that the numbers stay."""
+    return persisted(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "rows")
 
 
-def kept_lines(docs: DataFrame, near: int = NEAR_WORDS) -> DataFrame:
-    """(doc_id, kept): for each document with lines that aren't blank, the numbers of those that stay."""
+def _lines(rows: DataFrame) -> DataFrame:
+    """(doc_id, row, line, words) of the lines that aren't blank; words as one string."""
+    lines = rows.select("doc.doc_id", "row", F.posexplode(F.split("doc.text", "\n")).alias("line", "raw")).where(F.col("raw") != "")
+    return lines.select("doc_id", "row", "line", _normal(F.col("raw")).alias("words")).where(F.col("words") != "")
+
+
+def _kept_lines(rows: DataFrame, near: int) -> DataFrame:
+    """(row, kept): for each row with lines that aren't blank, the numbers of those that stay."""
     words = F.col("words")
     # a line of LONG_WORDS words can be near one with a word less, and shares an end with it
     end = lambda k: F.when(_long(words, LONG_WORDS - 1), F.xxhash64(F.substring_index("words", " ", k), F.lit(k)))
     short = F.when(_long(words, near) & ~_long(words, LONG_WORDS), words)
-    keyed = _lines(docs).select("doc_id", "line", F.xxhash64("words").alias("h1"), F.hash("words").alias("h2"), end(ENDS).alias("head"), end(-ENDS).alias("tail"), short.alias("short"))
+    keyed = _lines(rows).select(*PLACE, F.xxhash64("words").alias("h1"), F.hash("words").alias("h2"), end(ENDS).alias("head"), end(-ENDS).alias("tail"), short.alias("short"))
     ids = ["h1", "h2", "head", "tail", "short"]
-    first = keyed.groupBy(*ids).agg(F.min(F.struct("doc_id", "line")).alias("place")).select(*ids, "place.doc_id", "place.line")
+    first = keyed.groupBy(*ids).agg(F.min(F.struct(*PLACE)).alias("place")).select(*ids, "place.*")
     first = persisted(first.drop("h2"), "lines")
 
-    ends = first.where("head is not null").select(F.posexplode(F.array("head", "tail")).alias("kind", "end"), "h1", "doc_id", "line")
+    ends = first.where("head is not null").select(F.posexplode(F.array("head", "tail")).alias("kind", "end"), "h1", "row", "line")
     shared = ends.groupBy("end").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("end")
     sharing = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.col("line")))
-    close = ends.join(shared, "end", "left_semi").groupBy("doc_id").agg(sharing(0).alias("heads"), sharing(1).alias("tails"))
-
-    again = docs.select("doc_id", "text").join(close.withColumnRenamed("doc_id", "close_id"), F.col("doc_id").eqNullSafe(F.col("close_id")))
-    again = again.select("doc_id", "heads", "tails", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    again = again.select("doc_id", "line", "raw", F.array_contains("heads", F.col("line")).alias("by_head"), F.array_contains("tails", F.col("line")).alias("by_tail")).where("by_head or by_tail")
-    again = again.select("doc_id", "line", "by_head", "by_tail", F.split(_normal(F.col("raw")), " ").alias("ws")).withColumn("n", F.size("ws")).where(F.col("n") >= LONG_WORDS)
-    long = again.select(F.struct("doc_id", "line").alias("place"), "ws", "n", F.when(F.col("by_tail"), 0).otherwise(F.col("n") - ENDS).alias("low"), F.when(F.col("by_head"), F.col("n") - 1).otherwise(ENDS - 1).alias("high"))
-    whole = first.where("short is not null").select(F.struct("doc_id", "line").alias("place"), F.split("short", " ").alias("ws")).withColumn("n", F.size("ws"))
+    close = ends.join(shared, "end", "left_semi").groupBy("row").agg(sharing(0).alias("heads"), sharing(1).alias("tails"))
+
+    again = rows.select("row", "doc.doc_id", "doc.text").join(close, "row")
+    again = again.select("doc_id", "row", "heads", "tails", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
+    again = again.select(*PLACE, "raw", F.array_contains("heads", F.col("line")).alias("by_head"), F.array_contains("tails", F.col("line")).alias("by_tail")).where("by_head or by_tail")
+    again = again.select(*PLACE, "by_head", "by_tail", F.split(_normal(F.col("raw")), " ").alias("ws")).withColumn("n", F.size("ws")).where(F.col("n") >= LONG_WORDS)
+    long = again.select(F.struct(*PLACE).alias("place"), "ws", "n", F.when(F.col("by_tail"), 0).otherwise(F.col("n") - ENDS).alias("low"), F.when(F.col("by_head"), F.col("n") - 1).otherwise(ENDS - 1).alias("high"))
+    whole = first.where("short is not null").select(F.struct(*PLACE).alias("place"), F.split("short", " ").alias("ws")).withColumn("n", F.size("ws"))
     lines = long.unionByName(whole.select("place", "ws", "n", F.lit(0).alias("low"), (F.col("n") - 1).alias("high")))
     hashed = lines.select("place", "n", F.transform("ws", lambda w: F.xxhash64(w)).alias("hs"), F.concat(F.array(F.lit(-1)), F.sequence("low", "high")).alias("gaps"))
     gaps = hashed.select("place", "n", "hs", F.explode("gaps").alias("gap"))
@@ -85,16 +92,15 @@ def kept_lines(docs: DataFrame, near: int = NEAR_WORDS) -> DataFrame:
     of_gap = together.groupBy("key", "check", "gap").agg(F.min("place").alias("same"))
     # the line itself meets every variant; a variant meets the line without its word, and variants that lack the same word
     earlier = F.when(F.col("gap") < 0, F.col("any")).otherwise(F.least("whole", "same"))
-    near_lines = together.join(of_key, ["key", "check"]).join(of_gap, ["key", "check", "gap"]).where(earlier < F.col("place")).select("place.doc_id", "place.line").distinct()
-    near_lines = near_lines.select(F.col("doc_id").alias("near_id"), F.col("line").alias("near_line"))
-    stays = first.join(near_lines, F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("line") == F.col("near_line")), "left_anti")
-    return stays.groupBy("doc_id").agg(F.collect_set("line").alias("kept"))
+    near_lines = together.join(of_key, ["key", "check"]).join(of_gap, ["key", "check", "gap"]).where(earlier < F.col("place")).select("place.row", "place.line").distinct()
+    stays = first.join(near_lines, ["row", "line"], "left_anti")
+    return stays.groupBy("row").agg(F.collect_set("line").alias("kept"))
 
 
 def deduplicated(docs: DataFrame, near: int = NEAR_WORDS) -> DataFrame:
     """(doc, n_lines, n_removed): the rows of docs as structs, text without the removed lines, and counts of lines (long)."""
-    kept = kept_lines(docs, near).withColumnRenamed("doc_id", "kept_id")
-    rows = docs.select(F.struct("*").alias("doc")).join(kept, F.col("doc.doc_id").eqNullSafe(F.col("kept_id")), "left").withColumn("parts", F.split("doc.text", "\n"))
+    numbered = _numbered(docs)
+    rows = numbered.join(_kept_lines(numbered, near), "row", "left").withColumn("parts", F.split("doc.text", "\n"))
     stays = lambda x, i: F.coalesce(F.array_contains("kept", i), F.lit(False)) | (F.btrim(x, F.lit(_BLANK)) == "")
     rows = rows.select("doc", F.size("parts").alias("n"), F.filter("parts", stays).alias("lines"))
     some = F.col("doc.text").isNotNull()

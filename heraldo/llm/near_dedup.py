@@ -6,15 +6,17 @@ in all). Empty registers borrow from full ones along a fixed probing order, so t
 with probability about J. Bands of registers give candidate pairs; the collision-corrected Jaccard estimate drops those
 clearly below the threshold; what remains is confirmed on the full shingle sets.
 
-Work in groups stays linear. Equal sets are one class from the start, represented by the smallest doc_id. In a band's
+Work in groups stays linear. Equal sets are one class from the start, represented by one row. In a band's
 bucket of up to SMALL classes all pairs are candidates (at most SMALL per class and band). In a larger bucket every class
 is paired with the bucket's centre, the class that meets most others over all bands (for edited copies, the original).
 Exact way for the rest: classes of large buckets which are then outside the component of their centre go through a prefix
 join with all classes of that centre (see _rest), which loses no pair that reaches the threshold.
 
 Defined cases: null or wordless text has an empty set, is linked with nothing and keeps itself; a text with fewer words
-than a shingle is one shingle; rows with equal doc_id count once (the greatest text by order); a null doc_id is dropped,
-as it names no document; other columns are ignored.
+than a shingle is one shingle; each row has a number of its own and is judged by its own text, so rows of one doc_id, or of
+none, are linked like any others; a group's doc_ids come before its rows without one, and a group of such rows alone has no
+component_id but keeps its first row; an empty table gives an empty one; a very long text is one slice, its shingles held by
+one task; columns of any other name pass through filter_documents and are ignored otherwise.
 """
 
 from __future__ import annotations
@@ -97,16 +99,16 @@ def _sketch(size: int):
                     two[some] = np.add.reduceat(mix(hashes ^ U64(0xA5A5A5A5A5A5A5A5)), first[some])
                 regs = registers(docs, hashes, n)
                 yield pa.record_batch(
-                    [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array([r.tobytes() if c else b"" for r, c in zip(regs, counts)], pa.binary())],
-                    names=["doc_id", "n_shingles", "s1", "s2", "regs"],
+                    [part.column("row"), part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array([r.tobytes() if c else b"" for r, c in zip(regs, counts)], pa.binary())],
+                    names=["row", "doc_id", "n_shingles", "s1", "s2", "regs"],
                 )
 
     return run
 
 
-def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n_shingles, s1, s2, regs): set size, 128 bits that identify the set, and its registers."""
-    return docs.mapInArrow(_sketch(size), "doc_id long, n_shingles long, s1 long, s2 long, regs binary")
+def sketches(rows: DataFrame, size: int) -> DataFrame:
+    """(row, doc_id, n_shingles, s1, s2, regs): set size, 128 bits that identify the set, and its registers."""
+    return rows.mapInArrow(_sketch(size), "row long, doc_id long, n_shingles long, s1 long, s2 long, regs binary")
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +170,7 @@ def confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, size: int, pe
     side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
     sized = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
     likely = persisted(sized.mapInArrow(_likely(percent / 100), "a long, b long"), "likely")
-    text = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
+    text = lambda x: texts.select(F.col("row").alias(x), F.col("text").alias(f"text_{x}"))
     return persisted(likely.join(text("a"), "a").join(text("b"), "b").mapInArrow(_confirm(size, percent), "a long, b long"), "links")
 
 
@@ -212,7 +214,7 @@ def _rest(placed: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     first, and of that what fewest of the group's classes hold, so that a passage which many of them share pairs none.
     """
     open_groups = placed.where("outside").select("centre").distinct()
-    text = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
+    text = lambda x: texts.select(F.col("row").alias(x), F.col("text").alias(f"text_{x}"))
     rows = placed.join(open_groups, "centre", "left_semi").join(text("rep"), "rep").join(text("centre"), "centre")
     tokens = persisted(rows.mapInArrow(_strays(size, percent), "centre long, rep long, own long, outside boolean, n int, shared boolean, token long"), "strays")
     common = tokens.where("not shared").groupBy("centre", "token").agg(F.count("*").alias("held"))
@@ -224,22 +226,23 @@ def _rest(placed: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     return x.join(y, fits).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every document.
+def numbered(docs: DataFrame) -> DataFrame:
+    """(row, doc): each row as a struct beside a number of its own, stored so that the numbers stay."""
+    return persisted(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "rows")
 
-    Documents are linked whose sets of `shingle`-word shingles have 100 * intersection >= percent * union; component_id
-    is the smallest doc_id reachable over links, itself included; kept where doc_id = component_id.
+
+def near_duplicates(rows: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """(row, doc_id, n_shingles, component_id, kept) for every row of a numbered() table.
+
+    Rows are linked whose sets of `shingle`-word shingles have 100 * intersection >= percent * union; component_id is the
+    smallest doc_id reachable over links, itself included; kept is true for the first row of a group, by doc_id and row.
     """
-    one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    one = rows.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").alias("text"))
     sketch = persisted(sketches(one, shingle), "sketch")
-    if sketch.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        one = one.groupBy("doc_id").agg(F.max("text").alias("text"))
-        sketch = persisted(sketches(one, shingle), "sketch")
-    known = sketch.select("doc_id", "n_shingles", "s1", "s2")
-    classes = persisted(known.where("n_shingles > 0").groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = persisted(
-        classes.select("rep", "s1", "s2", F.col("n_shingles").alias("n")).join(sketch.select(F.col("doc_id").alias("rep"), "s1", "s2", "regs"), ["rep", "s1", "s2"]).dropDuplicates(["rep"]).select("rep", "n", "regs"), "reps"
-    )
+    known = sketch.select("row", "doc_id", "n_shingles", "s1", "s2")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    classes = persisted(known.where("n_shingles > 0").groupBy("s1", "s2", "n_shingles").agg(F.min("row").alias("rep"), first), "classes")
+    reps = persisted(classes.select("rep", F.col("n_shingles").alias("n")).join(sketch.select(F.col("row").alias("rep"), "regs"), "rep"), "reps")
     bands = reps.select("rep", "regs").mapInArrow(_bands, "band long, rep long")
     counts = bands.groupBy("band").agg(F.count("*").alias("c")).where("c > 1")
     members = persisted(bands.join(counts, "band"), "members")
@@ -264,13 +267,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         if more.limit(1).count():
             found = components(links.unionByName(more))
 
-    of_class = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("s1", "s2", "n_shingles", F.coalesce("component", "rep").alias("component"))
-    out = known.join(of_class, ["s1", "s2", "n_shingles"], "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    of_class = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("s1", "s2", "n_shingles", "first", F.coalesce("component", "rep").alias("component"))
+    firsts = of_class.groupBy("component").agg(F.min("first").alias("first"))
+    of_class = of_class.drop("first").join(firsts, "component").select("s1", "s2", "n_shingles", F.col("first.doc_id").alias("component_id"), F.col("first.row").alias("first_row"))
+    out = known.where("n_shingles > 0").join(of_class, ["s1", "s2", "n_shingles"]).select("row", "doc_id", "n_shingles", "component_id", (F.col("row") == F.col("first_row")).alias("kept"))
+    return out.unionByName(known.where("n_shingles = 0").select("row", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept")))
+
+
+def filter_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """docs with one row, the first by doc_id, of each group of near-duplicates."""
+    rows = numbered(docs)
+    return rows.join(near_duplicates(rows, shingle, percent).where("kept").select("row"), "row", "left_semi").select("doc.*")
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+    found = near_duplicates(numbered(table(spark, sf_dir, "documents").select("doc_id", "text")), shingle=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("kept")).alias("kept"))
 
 
 #: The contract in SQL: all pairs that share a shingle, then reachability.

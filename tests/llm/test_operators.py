@@ -469,7 +469,8 @@ OPERATORS = {
     "quality": quality.measure,
     "quality filter": quality.filter_documents,
     "lm": lm_score.score,
-    "near": near_dedup.near_duplicates,
+    "near": lambda d: near_dedup.near_duplicates(near_dedup.numbered(d)),
+    "near filter": near_dedup.filter_documents,
     "bpe": bpe.round_trip,
     "lines": line_dedup.deduplicated,
     "line filter": line_dedup.filter_documents,
@@ -482,7 +483,7 @@ def test_awkward_and_empty_tables(name, spark, tmp_path):
     frame.write.parquet(str(tmp_path / "docs"))
     docs = spark.read.parquet(str(tmp_path / "docs"))
     found = OPERATORS[name](docs).collect()
-    expected = {"near": 7, "quality filter": 0}.get(name, len(AWKWARD))
+    expected = {"near filter": 8, "quality filter": 0}.get(name, len(AWKWARD))
     assert len(found) == expected or name in ("line filter", "quality filter")
     assert OPERATORS[name](docs.where("doc_id = 99")).collect() == []
 
