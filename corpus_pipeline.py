@@ -4,8 +4,9 @@ Each stage takes (spark, docs, sf_dir), works on all documents its predecessor k
 the last returns the token digests of what is left. run() writes each stage as Parquet to the shared folder and reads it
 again as the next one's docs, so that a lost executor never reaches back beyond a stage.
 
-Null, empty and wordless texts fail the quality rules; repeated rows are judged alike and count as one in near-dedup only
-if their doc_id is the same too. An empty table passes through all stages.
+Null, empty and wordless texts fail the quality rules. Rows are judged as rows: repeated doc_ids and null ones are told apart
+by a number of the row's own, so of equal rows the first stays. Columns of other names pass through all stages but the last;
+very long texts are worked on whole; an empty table passes through all stages.
 """
 
 from __future__ import annotations
@@ -28,9 +29,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest doc_id, of each group of near-duplicates over five-word shingles at 0.8."""
-    kept = near_dedup.near_duplicates(docs, shingle=5, percent=80).where("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi")
+    """One document, the first by doc_id, of each group of near-duplicates over five-word shingles at 0.8."""
+    return near_dedup.filter_documents(docs, shingle=5, percent=80)
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
