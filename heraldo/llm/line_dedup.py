@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import persisted, table
+from .common import persisted, reclaimed, released, table
 
 NEAR_WORDS, LONG_WORDS = 5, 10
 ENDS = LONG_WORDS // 2
@@ -68,6 +68,7 @@ def _kept_lines(rows: DataFrame, near: int) -> DataFrame:
     ids = ["h1", "h2", "head", "tail", "short"]
     first = keyed.groupBy(*ids).agg(F.min(F.struct(*PLACE)).alias("place")).select(*ids, "place.*")
     first = persisted(first.drop("h2"), "lines")
+    reclaimed(rows.sparkSession)
 
     ends = first.where("head is not null").select(F.posexplode(F.array("head", "tail")).alias("kind", "end"), "h1", "row", "line")
     shared = ends.groupBy("end").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("end")
@@ -88,13 +89,19 @@ def _kept_lines(rows: DataFrame, near: int) -> DataFrame:
     variants = persisted(keys.select("place", "gap", F.xxhash64("left").alias("key"), F.xxhash64(F.lit(1), "left").alias("check")), "variants")
     shared_keys = variants.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     together = persisted(variants.join(shared_keys, "key", "left_semi"), "together")
+    released(variants)
+    reclaimed(rows.sparkSession)
     of_key = together.groupBy("key", "check").agg(F.min("place").alias("any"), F.min(F.when(F.col("gap") < 0, F.col("place"))).alias("whole"))
     of_gap = together.groupBy("key", "check", "gap").agg(F.min("place").alias("same"))
     # the line itself meets every variant; a variant meets the line without its word, and variants that lack the same word
     earlier = F.when(F.col("gap") < 0, F.col("any")).otherwise(F.least("whole", "same"))
     near_lines = together.join(of_key, ["key", "check"]).join(of_gap, ["key", "check", "gap"]).where(earlier < F.col("place")).select("place.row", "place.line").distinct()
     stays = first.join(near_lines, ["row", "line"], "left_anti")
-    return stays.groupBy("row").agg(F.collect_set("line").alias("kept"))
+    kept = persisted(stays.groupBy("row").agg(F.collect_set("line").alias("kept")), "kept")
+    for used in (first, together):
+        released(used)
+    reclaimed(rows.sparkSession)
+    return kept
 
 
 def deduplicated(docs: DataFrame, near: int = NEAR_WORDS) -> DataFrame:
