@@ -15,9 +15,9 @@ word. Only the earliest place per key and per (key, position) is needed to decid
 share is aggregated like any other, and pairs are never listed. Lines are told apart by 96 bits at least, variants by two
 64-bit hashes of their words' 64-bit hashes.
 
-Defined cases: a null text stays null and has no lines; blank lines stay; each row has a number of its own and is judged by
-its own text, so rows of one doc_id, or of none, lose what an earlier one of them holds, in the table's order; a null doc_id
-orders first; an empty table gives an empty one; a very long text is split where it stands, its lines being all that is held
+Defined cases: a null text stays null and has no lines; blank lines stay; each row is judged by its own text: rows of one
+doc_id, or of none, follow each other by a hash of the text (`row`) and lose what one before them holds, and of rows equal in
+both any one stays the first (only such rows are numbered and stored); a null doc_id orders first; an empty table gives an empty one; a very long text is split where it stands, its lines being all that is held
 apart; columns of any name pass through, as a document's row stays one struct beside what is worked out.
 """
 
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import persisted, reclaimed, released, table
+from .common import persisted, released, table
 
 NEAR_WORDS, LONG_WORDS = 5, 10
 ENDS = LONG_WORDS // 2
@@ -47,9 +47,22 @@ def _long(normal: Column, least: int) -> Column:
     return F.length(F.substring_index(normal, " ", least - 1)) < F.length(normal)
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """(row, doc): each row as a struct beside a number of its own, stored so that the numbers stay."""
-    return persisted(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "rows")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(row, doc): each row as a struct beside the hash of its text."""
+    return docs.select(F.xxhash64("text").alias("row"), F.struct("*").alias("doc"))
+
+
+def _marked(rows: DataFrame) -> DataFrame:
+    """rows with `again`: whether another row with the same doc_id and text is the first of them."""
+    keys = rows.where("doc.text <> ''").groupBy("doc.doc_id", "row").agg(F.count("*").alias("c")).where("c > 1").select(F.col("doc_id").alias("twin_id"), F.col("row").alias("twin"))
+    keys = persisted(keys, "equal")
+    if not keys.limit(1).count():
+        return rows.withColumn("again", F.lit(False))
+    fits = F.col("doc.doc_id").eqNullSafe(F.col("twin_id")) & (F.col("row") == F.col("twin"))
+    twins = persisted(rows.join(keys, fits, "left_semi").withColumn("number", F.monotonically_increasing_id()), "twins")
+    firsts = twins.groupBy("doc.doc_id", "row").agg(F.min("number").alias("first")).select("first")
+    marked = twins.join(firsts, F.col("number") == F.col("first"), "left").select("row", "doc", F.col("first").isNull().alias("again"))
+    return rows.join(keys, fits, "left_anti").withColumn("again", F.lit(False)).unionByName(marked)
 
 
 def _lines(rows: DataFrame) -> DataFrame:
@@ -59,7 +72,7 @@ def _lines(rows: DataFrame) -> DataFrame:
 
 
 def _kept_lines(rows: DataFrame, near: int) -> DataFrame:
-    """(row, kept): for each row with lines that aren't blank, the numbers of those that stay."""
+    """(doc_id, row, kept): for each text with lines that aren't blank, the numbers of those that stay."""
     words = F.col("words")
     # a line of LONG_WORDS words can be near one with a word less, and shares an end with it
     end = lambda k: F.when(_long(words, LONG_WORDS - 1), F.xxhash64(F.substring_index("words", " ", k), F.lit(k)))
@@ -68,14 +81,14 @@ def _kept_lines(rows: DataFrame, near: int) -> DataFrame:
     ids = ["h1", "h2", "head", "tail", "short"]
     first = keyed.groupBy(*ids).agg(F.min(F.struct(*PLACE)).alias("place")).select(*ids, "place.*")
     first = persisted(first.drop("h2"), "lines")
-    reclaimed(rows.sparkSession)
 
-    ends = first.where("head is not null").select(F.posexplode(F.array("head", "tail")).alias("kind", "end"), "h1", "row", "line")
+    ends = first.where("head is not null").select(F.posexplode(F.array("head", "tail")).alias("kind", "end"), "h1", *PLACE)
     shared = ends.groupBy("end").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("end")
     sharing = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.col("line")))
-    close = ends.join(shared, "end", "left_semi").groupBy("row").agg(sharing(0).alias("heads"), sharing(1).alias("tails"))
+    close = ends.join(shared, "end", "left_semi").groupBy("doc_id", "row").agg(sharing(0).alias("heads"), sharing(1).alias("tails"))
 
-    again = rows.select("row", "doc.doc_id", "doc.text").join(close, "row")
+    close = close.withColumnsRenamed({"doc_id": "close_id", "row": "close"})
+    again = rows.select("row", "doc.doc_id", "doc.text").join(close, F.col("doc_id").eqNullSafe(F.col("close_id")) & (F.col("row") == F.col("close")))
     again = again.select("doc_id", "row", "heads", "tails", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
     again = again.select(*PLACE, "raw", F.array_contains("heads", F.col("line")).alias("by_head"), F.array_contains("tails", F.col("line")).alias("by_tail")).where("by_head or by_tail")
     again = again.select(*PLACE, "by_head", "by_tail", F.split(_normal(F.col("raw")), " ").alias("ws")).withColumn("n", F.size("ws")).where(F.col("n") >= LONG_WORDS)
@@ -90,24 +103,22 @@ def _kept_lines(rows: DataFrame, near: int) -> DataFrame:
     shared_keys = variants.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     together = persisted(variants.join(shared_keys, "key", "left_semi"), "together")
     released(variants)
-    reclaimed(rows.sparkSession)
     of_key = together.groupBy("key", "check").agg(F.min("place").alias("any"), F.min(F.when(F.col("gap") < 0, F.col("place"))).alias("whole"))
     of_gap = together.groupBy("key", "check", "gap").agg(F.min("place").alias("same"))
     # the line itself meets every variant; a variant meets the line without its word, and variants that lack the same word
     earlier = F.when(F.col("gap") < 0, F.col("any")).otherwise(F.least("whole", "same"))
-    near_lines = together.join(of_key, ["key", "check"]).join(of_gap, ["key", "check", "gap"]).where(earlier < F.col("place")).select("place.row", "place.line").distinct()
-    stays = first.join(near_lines, ["row", "line"], "left_anti")
-    kept = persisted(stays.groupBy("row").agg(F.collect_set("line").alias("kept")), "kept")
-    for used in (first, together):
-        released(used)
-    reclaimed(rows.sparkSession)
-    return kept
+    near_lines = together.join(of_key, ["key", "check"]).join(of_gap, ["key", "check", "gap"]).where(earlier < F.col("place")).select("place").distinct()
+    near_lines = near_lines.select(*[F.col(f"place.{c}").alias(f"near_{c}") for c in PLACE])
+    stays = first.join(near_lines, F.col("doc_id").eqNullSafe(F.col("near_doc_id")) & (F.col("row") == F.col("near_row")) & (F.col("line") == F.col("near_line")), "left_anti")
+    return stays.groupBy("doc_id", "row").agg(F.collect_set("line").alias("kept"))
 
 
 def deduplicated(docs: DataFrame, near: int = NEAR_WORDS) -> DataFrame:
     """(doc, n_lines, n_removed): the rows of docs as structs, text without the removed lines, and counts of lines (long)."""
-    numbered = _numbered(docs)
-    rows = numbered.join(_kept_lines(numbered, near), "row", "left").withColumn("parts", F.split("doc.text", "\n"))
+    keyed = _keyed(docs)
+    kept = _kept_lines(keyed, near).withColumnsRenamed({"doc_id": "kept_id", "row": "kept_row"})
+    rows = _marked(keyed).join(kept, F.col("doc.doc_id").eqNullSafe(F.col("kept_id")) & (F.col("row") == F.col("kept_row")), "left").withColumn("parts", F.split("doc.text", "\n"))
+    rows = rows.withColumn("kept", F.when(~F.col("again"), F.col("kept")))
     stays = lambda x, i: F.coalesce(F.array_contains("kept", i), F.lit(False)) | (F.btrim(x, F.lit(_BLANK)) == "")
     rows = rows.select("doc", F.size("parts").alias("n"), F.filter("parts", stays).alias("lines"))
     some = F.col("doc.text").isNotNull()
