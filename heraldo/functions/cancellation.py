@@ -31,6 +31,7 @@ HOW_PAID = (
     + [f"al {x}" for x in ("ingresar", "llegar", "entrar", "ingreso", "momento")] + [f"por {x}" for x in ("nequi", "daviplata", "transferencia", "pse", "tarjeta", "bancolombia", "adelantado")]
     + ["antes de", "antes del", "el mismo dia", "directamente"]
 )
+INSTALMENTS = "una dos tres cuatro cinco seis siete ocho nueve diez once doce varias".split()
 DAY_PAID, NOT_PAID = ["el dia de", "el dia del"], ["hoy", "manana"]
 #: How far before "se cancela", in characters, a price still tells that it is paid.
 PRICE_REACH = 30
@@ -61,7 +62,7 @@ def _is_price(word: Column, following: Column) -> Column:
     return word.isin(PRICE_WORDS) | F.rtrim(word, F.lit("s")).isin(PRICE_WORDS) | amount
 
 
-def _states_it(sentence: Column) -> Column:
+def _is_off(sentence: Column) -> Column:
     words = F.concat(F.array_repeat(F.lit(""), _PAD), F.split(sentence, " "))
     count = F.size(words)
     word = lambda i: F.coalesce(F.try_element_at(words, i), F.lit(""))
@@ -77,7 +78,9 @@ def _states_it(sentence: Column) -> Column:
         told = lambda j: _is_price(word(j), word(j + 1)) & ~F.contains(between(j, i), F.lit(":")) & (F.length(between(j + 1, i)) <= PRICE_REACH)
         price_before = F.exists(F.sequence(F.greatest(i - 16, F.lit(1)), i - 1), told)
         already = (word(i - 1) == "ya") & _opens(rest, PAYS[2:])
-        return already | price_before | price_next | on_a_day | _opens(behind, HOW_PAID)
+        parts = [F.coalesce(F.try_element_at(later, F.lit(n)), F.lit("")) for n in (1, 2, 3)]
+        instalments = (parts[0] == "en") & (parts[1].isin(INSTALMENTS) | parts[1].rlike(r"^\p{N}+$")) & parts[2].isin("cuotas", "cuota")
+        return already | price_before | price_next | on_a_day | instalments | _opens(behind, HOW_PAID)
 
     def stated(i: Column) -> Column:
         rest = F.concat(F.array_join(F.slice(words, i, 8), " "), F.lit(" "))
@@ -100,4 +103,4 @@ def says_cancelled(text: Column) -> Column:
     """Whether a text says it, sentence by sentence; only lines and sentences with one of STEMS are taken apart."""
     hint = "|".join(STEMS)
     lines = F.filter(F.split(F.coalesce(text, F.lit("")), r"\R"), lambda line: line.rlike(rf"(?i){hint}"))
-    return F.exists(F.filter(F.flatten(F.transform(lines, sentences)), lambda s: s.rlike(hint)), _states_it)
+    return F.exists(F.filter(F.flatten(F.transform(lines, sentences)), lambda s: s.rlike(hint)), _is_off)

@@ -20,6 +20,9 @@ ORIGINS = "estilo,style,desde,llega de,viene de,sabor".split(",")
 SONGS, HOME = ["cali pachanguero"], "bogota"
 CURRENCIES = "usd mxn eur euro euros gbp dolar dolares dollar dollars clp ars brl reales libras".split()
 PESOS_OF = "mexicano mexicanos argentino argentinos chileno chilenos dominicano dominicanos cubano cubanos uruguayo uruguayos".split()
+# A dancers' social, its other names, and words that make "social" something else.
+SOCIAL, SOCIALS = "social sociale socials sociales".split(), "milonga milongas practica practicas".split()
+OTHER_SOCIALS = "redes red club eventos causa obra labor proyecto impacto responsabilidad".split()
 FREE = ["gratis", "gratuito", "gratuita", "gratuitos", "gratuitas", "libre", "free", "sin costo", "sin cover", "no cover", "cortesia"]
 
 
@@ -88,8 +91,15 @@ def city(in_bogota: Column, address: Column, caption: Column) -> Column:
 
 
 def kind_at_a_bar(event_type: Column, said: Column) -> Column:
-    """A bar's night that was read as a social is a party, unless its text speaks of a social."""
-    return F.when((event_type == "social") & ~_holds(_spaced(said), ["social", "sociales"]), "party").otherwise(event_type)
+    """A bar's night that was read as a social is a party, unless its text announces one by any of its names.
+
+    The word doesn't announce one as part of a bar's name or of another thing: after OTHER_SOCIALS, or before "club".
+    """
+    ws = text.words(text.fold(F.coalesce(said, F.lit(""))))
+    beside = lambda ws, w, i: ~F.coalesce(F.get(ws, i - 1), F.lit("")).isin(OTHER_SOCIALS) & (F.coalesce(F.get(ws, i + 1), F.lit("")) != "club")
+    named = lambda ws: F.exists(F.transform(ws, lambda w, i: w.isin(SOCIALS) | (w.isin(SOCIAL) & beside(ws, w, i))), lambda x: x)
+    announced = F.exists(F.array(ws), named)
+    return F.when((event_type == "social") & ~announced, "party").otherwise(event_type)
 
 
 def _foreign(price: Column) -> Column:
