@@ -52,7 +52,7 @@ def test_hashes_that_lie_close(spark):
 
 
 def test_hashes_within_twenty_bits_are_found(spark):
-    assert catalogue.QUERIES["near_dup_hamming_20"](spark, SMALL).count() == 25
+    assert catalogue.QUERIES["near_dup_hamming"](spark, SMALL).count() == 25
     rows = spark.createDataFrame([(1, 0, 0), (2, 0, int("1001" * 10, 2)), (3, 0, int("1001" * 10, 2) << 1), (4, 0, (1 << 21) - 1)], "k long, block long, bits long")
     assert (1, 2, 20) in [tuple(r) for r in matching.close_hashes(rows, "k", "block", "bits", 20).collect()]
 
