@@ -63,61 +63,62 @@ def prepared(events: DataFrame, prefix: str) -> DataFrame:
     return out.select(*[F.col(c).alias(f"{prefix}_{c}") for c in out.columns])
 
 
-def _c(side: str, field: str) -> Column:
-    return F.col(f"{side}_{field}")
+def _c(side: str | Column, field: str) -> Column:
+    """A field of one side of a pair: a prefixed column, or a field of a struct."""
+    return F.col(f"{side}_{field}") if isinstance(side, str) else side[field]
 
 
-def _both(field: str) -> Column:
+def _both(a: str | Column, b: str | Column, field: str) -> Column:
     """Whether both sides have it."""
     known = lambda x: F.coalesce(_c(x, field) != "", F.lit(False))
-    return known("a") & known("b")
+    return known(a) & known(b)
 
 
-def night_apart() -> Column:
+def night_apart(a: str | Column = "a", b: str | Column = "b") -> Column:
     """A congress or festival and a one-day night are never one event."""
     apart = lambda x, y: _c(x, "event_type").isin(*GATHERINGS) & _c(y, "event_type").isin(*NIGHTS) & ~_c(y, "multi")
-    return F.coalesce(apart("a", "b") | apart("b", "a"), F.lit(False))
+    return F.coalesce(apart(a, b) | apart(b, a), F.lit(False))
 
 
-def same_title() -> Column:
+def same_title(a: str | Column = "a", b: str | Column = "b") -> Column:
     """The same title, or the shorter one's words all in the longer one, which adds no kind of event; kinds and venues don't clash."""
-    a, b = _c("a", "w"), _c("b", "w")
-    added = F.when(F.size(a) <= F.size(b), F.array_except(b, a)).otherwise(F.array_except(a, b))
-    inside = (F.least(F.size(a), F.size(b)) > 0) & (F.size(F.array_intersect(a, b)) == F.least(F.size(a), F.size(b)))
-    clash = (_both("v") & (_c("a", "v") != _c("b", "v"))) | ((F.size(_c("a", "kinds")) > 0) & (F.size(_c("b", "kinds")) > 0) & ~F.arrays_overlap(_c("a", "kinds"), _c("b", "kinds")))
-    return (_c("a", "t") == _c("b", "t")) | (inside & ~clash & ~F.arrays_overlap(added, F.array(*map(F.lit, text.EVENT_WORDS))))
+    wa, wb = _c(a, "w"), _c(b, "w")
+    added = F.when(F.size(wa) <= F.size(wb), F.array_except(wb, wa)).otherwise(F.array_except(wa, wb))
+    inside = (F.least(F.size(wa), F.size(wb)) > 0) & (F.size(F.array_intersect(wa, wb)) == F.least(F.size(wa), F.size(wb)))
+    clash = (_both(a, b, "v") & (_c(a, "v") != _c(b, "v"))) | ((F.size(_c(a, "kinds")) > 0) & (F.size(_c(b, "kinds")) > 0) & ~F.arrays_overlap(_c(a, "kinds"), _c(b, "kinds")))
+    return (_c(a, "t") == _c(b, "t")) | (inside & ~clash & ~F.arrays_overlap(added, F.array(*map(F.lit, text.EVENT_WORDS))))
 
 
-def _titles_meet() -> Column:
-    return (_c("a", "t") == _c("b", "t")) | matching.shares_title(_c("a", "w"), _c("b", "w"))
+def _titles_meet(a: str | Column = "a", b: str | Column = "b") -> Column:
+    return (_c(a, "t") == _c(b, "t")) | matching.shares_title(_c(a, "w"), _c(b, "w"))
 
 
 def _clock_of(sessions: Column, day: Column) -> Column:
     return F.try_element_at(F.filter(sessions, lambda s: s["date"] == day), F.lit(1))["start_time"]
 
 
-def same_series() -> Column:
+def same_series(a: str | Column = "a", b: str | Column = "b") -> Column:
     """Two series that share half of the shorter one's sessions, with no other start on a shared day, and whose titles meet."""
-    shared = F.array_intersect(_c("a", "days"), _c("b", "days"))
-    clash = F.exists(shared, lambda d: F.coalesce(_clock_of(_c("a", "sessions"), d) != _clock_of(_c("b", "sessions"), d), F.lit(False)))
-    return (2 * F.size(shared) >= F.least(F.size(_c("a", "days")), F.size(_c("b", "days")))) & ~clash & _titles_meet()
+    shared = F.array_intersect(_c(a, "days"), _c(b, "days"))
+    clash = F.exists(shared, lambda d: F.coalesce(_clock_of(_c(a, "sessions"), d) != _clock_of(_c(b, "sessions"), d), F.lit(False)))
+    return (2 * F.size(shared) >= F.least(F.size(_c(a, "days")), F.size(_c(b, "days")))) & ~clash & _titles_meet(a, b)
 
 
-def session_of(series: str, other: str) -> Column:
+def session_of(series: str | Column, other: str | Column) -> Column:
     """A one-day post on a session's day, without another start: same title, a shared word, or same venue and start."""
     at, start = _clock_of(_c(series, "sessions"), _c(other, "date")), _c(other, "start_time")
     same_time = F.coalesce(at == start, F.lit(False))
-    titled = (_c("a", "t") == _c("b", "t")) | F.arrays_overlap(_c("a", "w"), _c("b", "w"))
-    return ~_c(other, "multi") & (same_time | at.isNull() | start.isNull()) & (titled | (_both("v") & (_c("a", "v") == _c("b", "v")) & same_time))
+    titled = (_c(series, "t") == _c(other, "t")) | F.arrays_overlap(_c(series, "w"), _c(other, "w"))
+    return ~_c(other, "multi") & (same_time | at.isNull() | start.isNull()) & (titled | (_both(series, other, "v") & (_c(series, "v") == _c(other, "v")) & same_time))
 
 
-def same_event() -> Column:
+def same_event(a: str | Column = "a", b: str | Column = "b") -> Column:
     """Whether two events of one account that share a day are one."""
     found = (
-        F.when(_c("a", "series") & _c("b", "series"), same_series()).when(_c("a", "series"), session_of("a", "b")).when(_c("b", "series"), session_of("b", "a"))
-        .when(_c("a", "multi") | _c("b", "multi"), _titles_meet()).when(_both("start_time"), _c("a", "start_time") == _c("b", "start_time")).otherwise(same_title())
+        F.when(_c(a, "series") & _c(b, "series"), same_series(a, b)).when(_c(a, "series"), session_of(a, b)).when(_c(b, "series"), session_of(b, a))
+        .when(_c(a, "multi") | _c(b, "multi"), _titles_meet(a, b)).when(_both(a, b, "start_time"), _c(a, "start_time") == _c(b, "start_time")).otherwise(same_title(a, b))
     )
-    return (_c("a", "account") == _c("b", "account")) & ~night_apart() & found
+    return (_c(a, "account") == _c(b, "account")) & ~night_apart(a, b) & found
 
 
 def _title_names(event: str, other: str) -> Column:
@@ -140,9 +141,9 @@ def _names(event: str, other: str) -> Column:
 def shared_event() -> Column:
     """Whether two accounts' events that share a day are one: one names the other's account, or the venue and more agree."""
     one_day = ~_c("a", "multi") & ~_c("b", "multi")
-    venues = _both("v")
-    same_time = one_day & _both("start_time") & (_c("a", "start_time") == _c("b", "start_time"))
-    late = one_day & _both("start_time") & (_c("a", "start_time") != _c("b", "start_time"))
+    venues = _both("a", "b", "v")
+    same_time = one_day & _both("a", "b", "start_time") & (_c("a", "start_time") == _c("b", "start_time"))
+    late = one_day & _both("a", "b", "start_time") & (_c("a", "start_time") != _c("b", "start_time"))
     elsewhere = venues & ~_c("a", "v").contains(_c("b", "v")) & ~_c("b", "v").contains(_c("a", "v"))
     shared = F.array_intersect(_c("a", "w"), _c("b", "w"))
     some = F.size(shared) > 0

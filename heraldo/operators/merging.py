@@ -30,6 +30,31 @@ def _days(first: Column, last: Column, own: Column) -> Column:
     return F.when(F.size(own) > 0, F.transform(own, lambda s: s["date"])).when(first.isNotNull(), F.sequence(first, F.greatest(first, F.coalesce(last, first))))
 
 
+def absorbed(s: Column, p: Column, kept: list[str]) -> dict[str, Column]:
+    """The fields of an event (s) after one more post or event (p) of it; both are structs of `seen` and `kept`, days first."""
+    newest = p["seen"] >= s["seen"]
+    mine, whole = _days(s["date"], s["end_date"], s["sessions"]), _days(p["date"], p["end_date"], p["sessions"])
+    one_day = F.coalesce(s["end_date"].isNotNull() & p["end_date"].isNull() & F.array_contains(mine, p["date"]), F.lit(False))
+    taken = p["date"].isNotNull() & ~one_day & (newest | s["date"].isNull())
+    has = lambda x: F.coalesce(F.size(x["sessions"]) > 0, F.lit(False))
+    completes = ~taken & ~one_day & has(p) & ~has(s) & s["end_date"].isNull() & F.coalesce(F.array_contains(whole, s["date"]), F.lit(False))
+    extends = ~taken & ~one_day & ~completes & s["end_date"].isNull() & p["end_date"].isNotNull() & ~has(p) & (p["date"] == s["date"])
+    days = taken | completes
+    out = {f: F.when(days, p[f]).otherwise(s[f]) for f in ("date", "sessions")}
+    out["end_date"] = F.when(days | F.coalesce(extends, F.lit(False)), p["end_date"]).otherwise(s["end_date"])
+    opening = F.try_element_at(p["sessions"], F.lit(1))
+    for f in kept[3:]:
+        new = F.when(p[f].isNull() | (one_day if f in RANGE_FIELDS else F.lit(False)), s[f]).when(s[f].isNull() | (newest if f in UPDATABLE else F.lit(False)), p[f]).otherwise(s[f])
+        if f in ("start_time", "end_time"):
+            new = F.when(completes, F.coalesce(opening[f], s[f])).otherwise(new)
+        out[f] = F.when(completes, p[f]).otherwise(new) if f == "weekday" else new
+    length = F.datediff(out["end_date"], out["date"]) + 1
+    sound = F.when(F.size(out["sessions"]) > 0, F.size(series.series_problems(out["sessions"], out["date"], out["end_date"])) == 0).otherwise(out["end_date"].isNull() | length.between(2, MAX_DAYS))
+    for f in ("end_date", "sessions"):
+        out[f] = F.when(F.coalesce(sound, F.lit(False)), out[f])
+    return out
+
+
 def merged_in_order(posts: DataFrame, key: str, order: str, published: str, fields: list[str]) -> DataFrame:
     """(key, fields): each event's posts folded in order; posts also have date, end_date (days) and sessions.
 
@@ -46,30 +71,8 @@ def merged_in_order(posts: DataFrame, key: str, order: str, published: str, fiel
     def state(values: dict[str, Column], seen: Column) -> Column:
         return F.struct(seen.alias("seen"), *[values[f].cast(kinds[f]).alias(f) for f in kept])
 
-    def step(s: Column, p: Column) -> Column:
-        newest = p["seen"] >= s["seen"]
-        mine, whole = _days(s["date"], s["end_date"], s["sessions"]), _days(p["date"], p["end_date"], p["sessions"])
-        one_day = F.coalesce(s["end_date"].isNotNull() & p["end_date"].isNull() & F.array_contains(mine, p["date"]), F.lit(False))
-        taken = p["date"].isNotNull() & ~one_day & (newest | s["date"].isNull())
-        has = lambda x: F.coalesce(F.size(x["sessions"]) > 0, F.lit(False))
-        completes = ~taken & ~one_day & has(p) & ~has(s) & s["end_date"].isNull() & F.coalesce(F.array_contains(whole, s["date"]), F.lit(False))
-        extends = ~taken & ~one_day & ~completes & s["end_date"].isNull() & p["end_date"].isNotNull() & ~has(p) & (p["date"] == s["date"])
-        days = taken | completes
-        out = {f: F.when(days, p[f]).otherwise(s[f]) for f in ("date", "sessions")}
-        out["end_date"] = F.when(days | F.coalesce(extends, F.lit(False)), p["end_date"]).otherwise(s["end_date"])
-        opening = F.try_element_at(p["sessions"], F.lit(1))
-        for f in kept[3:]:
-            new = F.when(p[f].isNull() | (one_day if f in RANGE_FIELDS else F.lit(False)), s[f]).when(s[f].isNull() | (newest if f in UPDATABLE else F.lit(False)), p[f]).otherwise(s[f])
-            if f in ("start_time", "end_time"):
-                new = F.when(completes, F.coalesce(opening[f], s[f])).otherwise(new)
-            out[f] = F.when(completes, p[f]).otherwise(new) if f == "weekday" else new
-        length = F.datediff(out["end_date"], out["date"]) + 1
-        sound = F.when(F.size(out["sessions"]) > 0, F.size(series.series_problems(out["sessions"], out["date"], out["end_date"])) == 0).otherwise(out["end_date"].isNull() | length.between(2, MAX_DAYS))
-        for f in ("end_date", "sessions"):
-            out[f] = F.when(F.coalesce(sound, F.lit(False)), out[f])
-        return state(out, F.greatest(s["seen"], p["seen"]))
-
     first = F.element_at("log", 1)
+    step = lambda s, p: state(absorbed(s, p, kept), F.greatest(s["seen"], p["seen"]))
     folded = F.aggregate(F.slice("log", 2, F.size("log")), state({f: first[f] for f in kept}, first["seen"]), step)
     return log.select(key, folded.alias("folded_posts")).select(key, *[F.col("folded_posts")[f].alias(f) for f in dict.fromkeys([*fields, "date", "end_date", "sessions"])])
 
