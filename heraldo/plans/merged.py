@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heraldo.operators import duplicates
+from heraldo.operators import duplicates, series, spans
 from heraldo.sources.tables import table
 
 FIELDS = ["title", "event_type", "venue", "start_time", "end_time", "date", "end_date", "sessions"]
@@ -34,7 +34,14 @@ def rewritten_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("o_custkey", F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").alias("ids"))
 
 
-QUERIES = {f.__name__: f for f in (merge_duplicates, rewritten_references)}
+def moments_in_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each event the first of its user's purchases whose hour to two weeks after it the event falls in."""
+    events = table(spark, sf_dir, "events").withColumn("at", series.micros(F.col("ts")))
+    bought = events.where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("span"), F.col("at").alias("first"), (F.col("at") + (1 + F.col("event_id") % 336) * 3_600_000_000).alias("last"))
+    return spans.containing(events.select("user_id", "event_id", "at"), bought, "event_id", "span", "at", "first", "last", ["user_id"], 3_600_000_000)
+
+
+QUERIES = {f.__name__: f for f in (merge_duplicates, rewritten_references, moments_in_spans)}
 
 # one event of each account's month a round, against the list of those kept so far
 _FOLD = """
@@ -61,4 +68,7 @@ ORACLE_SQL = {
     "rewritten_references": _FOLD + """, r AS (SELECT unnest(k.dropped) AS gone, k.id AS kept FROM m),
 o AS (SELECT o_custkey, coalesce(kept, o_orderkey) AS id, min(o_orderkey) AS spot FROM orders LEFT JOIN r ON gone = o_orderkey GROUP BY 1, 2)
 SELECT o_custkey, string_agg(CAST(id AS VARCHAR), ',' ORDER BY spot) AS ids FROM o GROUP BY 1""",
+    "moments_in_spans": """
+WITH p AS (SELECT user_id, event_id AS span, ts AS first, ts + to_hours(CAST(1 + event_id % 336 AS INTEGER)) AS last FROM events WHERE event_type = 'purchase')
+SELECT event_id, arg_min(span, row(first, span)) AS span, count(span) AS n FROM events e LEFT JOIN p ON p.user_id = e.user_id AND ts BETWEEN first AND last GROUP BY 1""",
 }
