@@ -1,11 +1,13 @@
-"""Queries on stored events that are merged in input order, and on moments within spans, each beside its SQL."""
+"""Queries on stored events merged in input order, moments within spans, and records refused, each beside its SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from heraldo.operators import duplicates, series, spans
+from heraldo.sources import quarantine
 from heraldo.sources.tables import table
 
 FIELDS = ["title", "event_type", "venue", "start_time", "end_time", "date", "end_date", "sessions"]
@@ -41,7 +43,20 @@ def moments_in_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.containing(events.select("user_id", "event_id", "at"), bought, "event_id", "span", "at", "first", "last", ["user_id"], 3_600_000_000)
 
 
-QUERIES = {f.__name__: f for f in (merge_duplicates, rewritten_references, moments_in_spans)}
+def refused_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as JSON texts of which some are cut off, lack a field, have one more or hold what can't be: why each is refused."""
+    k = F.col("o_orderkey")
+    day = F.when(k % 19 == 0, "1996-13-01").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    whole = F.to_json(F.struct(F.concat(F.when(k % 13 == 0, "x").otherwise(""), k.cast("string")).alias("id"), F.when(k % 11 > 0, F.col("o_orderstatus")).alias("status"), day.alias("day"), F.when(k % 17 == 0, True).alias("more")))
+    number = F.when(k % 13 == 0, whole).otherwise(F.regexp_replace(whole, '"id":"([0-9]+)"', '"id":$1'))
+    text = F.when(k % 7 == 0, F.substring(number, F.lit(1), F.length(number) - 1)).when(k % 23 == 0, " ").otherwise(number)
+    schema = StructType.fromDDL("id long, status string, day string")
+    rules = {"no such day": lambda r: F.try_to_timestamp(r["day"], F.lit("yyyy-MM-dd")).isNull()}
+    found = quarantine.sorted_records(table(spark, sf_dir, "orders").select("o_orderkey", text.alias("text")), "text", schema, ["id", "status"], rules)
+    return found.select("o_orderkey", F.array_join("reasons", ", ").alias("reasons"), F.when(F.size("reasons") == 0, F.struct("record.*")).alias("r")).select("o_orderkey", "reasons", "r.*")
+
+
+QUERIES = {f.__name__: f for f in (merge_duplicates, rewritten_references, moments_in_spans, refused_records)}
 
 # one event of each account's month a round, against the list of those kept so far
 _FOLD = """
@@ -71,4 +86,8 @@ SELECT o_custkey, string_agg(CAST(id AS VARCHAR), ',' ORDER BY spot) AS ids FROM
     "moments_in_spans": """
 WITH p AS (SELECT user_id, event_id AS span, ts AS first, ts + to_hours(CAST(1 + event_id % 336 AS INTEGER)) AS last FROM events WHERE event_type = 'purchase')
 SELECT event_id, arg_min(span, row(first, span)) AS span, count(span) AS n FROM events e LEFT JOIN p ON p.user_id = e.user_id AND ts BETWEEN first AND last GROUP BY 1""",
+    "refused_records": """
+WITH r AS (SELECT *, CASE WHEN o_orderkey % 7 = 0 THEN 'not JSON' WHEN o_orderkey % 23 = 0 THEN 'empty' ELSE concat_ws(', ', CASE WHEN o_orderkey % 13 = 0 THEN 'wrong type' END,
+  CASE WHEN o_orderkey % 11 = 0 THEN 'missing status' END, CASE WHEN o_orderkey % 17 = 0 THEN 'unknown more' END, CASE WHEN o_orderkey % 19 = 0 THEN 'no such day' END) END AS reasons FROM orders)
+SELECT o_orderkey, reasons, CASE WHEN reasons = '' THEN o_orderkey END AS id, CASE WHEN reasons = '' THEN o_orderstatus END AS status, CASE WHEN reasons = '' THEN strftime(o_orderdate, '%Y-%m-%d') END AS day FROM r""",
 }
