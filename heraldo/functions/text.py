@@ -83,7 +83,7 @@ def slug(text: Column, most: int = 50) -> Column:
 
 def post_code(link: Column) -> Column:
     """The code in a link to a post; null if it is none."""
-    return F.nullif(F.regexp_extract(link, r"/(?:p|reel|tv)/([A-Za-z0-9_-]+)", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(link, r"/(?:p|reels?|tv)/([A-Za-z0-9_-]+)", 1), F.lit(""))
 
 
 def redact(text: Column) -> Column:

@@ -55,7 +55,7 @@ def diagnose(
 
     All tables meet by equi-joins on codes, ids and accounts; only the last run, one row, goes to every row.
     """
-    link_account = F.lower(F.nullif(F.regexp_extract("link", r"^\s*(?:https?://)?[^/\s]+/([A-Za-z0-9._]+)/(?:p|reel|tv)/", 1), F.lit("")))
+    link_account = F.lower(F.nullif(F.regexp_extract("link", r"^\s*(?:https?://)?[^/\s]+/([A-Za-z0-9._]+)/(?:p|reels?|tv)/", 1), F.lit("")))
     q = asked.withColumn("code", text.post_code(F.col("link"))).join(recorded(records, events, today), "code", "left")
     named = F.coalesce("account", link_account, "author")
     q = q.withColumn("_with", F.when(F.col("record").isNull() & (F.col("author") != named), named)).withColumn("of_account", F.coalesce("record.account", F.when(named.isNotNull(), F.coalesce("author", named))))
