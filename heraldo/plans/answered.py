@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heraldo.operators import diagnosis
+from heraldo.operators import diagnosis, rereads
+from heraldo.sources import pages
 from heraldo.sources.tables import table
 
 
@@ -46,7 +47,47 @@ def post_diagnosis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("post", "of_account", "verdict", "add", checks.alias("checks"), F.array_join("details", "|").alias("details"), F.array_join(F.transform("shown", lambda e: e["id"]), ",").alias("shown"))
 
 
-QUERIES = {f.__name__: f for f in (post_diagnosis,)}
+def reread_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's orders as a post's new readings; most are also events it announced before, in reverse, some of them since changed."""
+    k, none = F.col("o_orderkey"), F.lit(None).cast("string")
+    orders = table(spark, sf_dir, "orders")
+    year = F.to_date(F.date_trunc("year", "o_orderdate"))
+    kind = F.when(k % 2 == 0, "social").alias("event_type")
+    readings = orders.select(F.col("o_custkey").alias("post"), k.alias("pos"), year.alias("date"), F.col("o_orderstatus").alias("title"), F.when(k % 3 == 1, "20:00").when(k % 3 == 2, "21:00").alias("start_time"), kind)
+    events = orders.where(k % 5 > 0).select(
+        F.col("o_custkey").alias("post"), (-k).alias("pos"), k.alias("id"), F.when(k % 4 > 0, year).alias("date"), F.when(k % 7 == 0, none).otherwise(F.lower("o_orderstatus")).alias("title"),
+        F.when(k % 3 == 1, F.when(F.col("o_custkey") % 2 == 0, "20:00").otherwise("21:00")).alias("start_time"), kind,
+    )
+    return rereads.kept_ids(readings, events, "post", "pos", "id")
+
+
+def embedded_post(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a post's: a third hold it as data, whole html and all, a third in their markup only, a third as data cut off; some hold none."""
+    k, html = F.col("page_id"), F.col("html")
+    title = F.translate(F.regexp_extract(html, "(?s)<title>(.*?)</title>", 1), "&", "")
+    author = F.when(k % 20 == 7, "a b").otherwise(F.concat(F.lit("Site_"), (k % 50).cast("string")))
+    file = lambda ending: F.concat(F.lit("https://x/"), k.cast("string"), F.lit(ending))
+    node = lambda video: [(F.lit(True) if video else F.lit(False)).alias("is_video"), file(".jpg").alias("display_url"), file(".mp4").alias("video_url")]
+    slide = lambda video: F.struct(F.struct(*node(video)).alias("node"))
+    kind = F.element_at(F.array(*map(F.lit, ["GraphImage", "GraphVideo", "GraphSidecar", "Odd"])), (k % 4 + 1).cast("int"))
+    media = F.struct(
+        kind.alias("__typename"), F.struct(author.alias("username")).alias("owner"), k.cast("string").alias("id"), (k * 1000).alias("taken_at_timestamp"), (k % 4 == 1).alias("is_video"), *node(False)[1:],
+        F.struct(F.array(F.struct(F.struct(html.alias("text")).alias("node"))).alias("edges")).alias("edge_media_to_caption"), F.struct(F.array(slide(True), slide(False)).alias("edges")).alias("edge_sidecar_to_children"),
+    )
+    text = F.to_json(F.struct(F.to_json(F.struct(F.struct(media.alias("shortcode_media")).alias("gql_data"))).alias("v")))
+    raw = F.substring(text, F.lit(7), F.length(text) - 8 - (k % 3 == 2).cast("int"))
+    script = F.when(k % 3 != 1, F.concat(F.lit(f"<script>s({{{pages.CONTEXT}"), raw, F.lit('","z":1})</script>')))
+    shown = F.concat(
+        F.lit('<b class="UsernameText">'), author, F.lit('</b><img class="EmbeddedMediaImage" src="'), file("m.jpg?a=1&amp;b=2"), F.lit('"><div class="Caption"><a>'), author, F.lit("</a> "), title,
+        F.lit(' &amp; m&aacute;s<br/><i>ya</i> <div class="CaptionComments"></div></div>'),
+    )
+    page = F.when(k % 33 == 5, html).otherwise(F.concat(F.coalesce(script, F.lit("")), shown))
+    found = pages.posts(table(spark, sf_dir, "pages").select("page_id", page.alias("page")), "page")
+    files = F.array_join(F.transform("media", lambda m: F.concat_ws(" ", m["media_type"], m["image"], m["video"])), ",")
+    return found.select("page_id", "author", "id", "media_type", F.sha2("caption", 256).alias("caption_sha256"), "taken_at", files.alias("media"), "by_data", "refused")
+
+
+QUERIES = {f.__name__: f for f in (post_diagnosis, reread_ids, embedded_post)}
 
 ORACLE_SQL = {
     "post_diagnosis": """
@@ -76,4 +117,25 @@ SELECT k AS post, 'c' || acc AS of_account, verdict, verdict NOT IN ('not_a_post
   CASE verdict WHEN 'discarded' THEN CASE WHEN k % 2 > 0 THEN s || '|' || p ELSE 'no era publicable' END WHEN 'rejected' THEN p WHEN 'not_event' THEN p WHEN 'removed' THEN s WHEN 'unreadable' THEN problem ELSE '' END AS details,
   coalesce(CASE WHEN seen THEN shown END, '') AS shown
 FROM v""",
+    "reread_ids": """
+WITH RECURSIVE r AS (SELECT o_custkey AS post, o_orderkey AS pos, CAST(date_trunc('year', o_orderdate) AS DATE) AS date, lower(o_orderstatus) AS title, CASE o_orderkey % 3 WHEN 1 THEN '20:00' WHEN 2 THEN '21:00' END AS start, o_orderkey % 2 AS type FROM orders),
+e AS (SELECT o_custkey AS post, o_orderkey AS pos, o_orderkey AS id, CASE WHEN o_orderkey % 4 > 0 THEN CAST(date_trunc('year', o_orderdate) AS DATE) END AS date, CASE WHEN o_orderkey % 7 > 0 THEN lower(o_orderstatus) END AS title,
+    CASE WHEN o_orderkey % 3 = 1 THEN CASE WHEN o_custkey % 2 = 0 THEN '20:00' ELSE '21:00' END END AS start, o_orderkey % 2 AS type FROM orders WHERE o_orderkey % 5 > 0),
+f AS (SELECT r.post, r.pos, e.pos AS spot, e.id, CASE WHEN e.date IS NOT DISTINCT FROM r.date THEN 8 ELSE 0 END + CASE WHEN e.title = r.title THEN 4 ELSE 0 END + CASE WHEN e.start = r.start THEN 2 ELSE 0 END + CASE WHEN e.type = r.type THEN 1 ELSE 0 END AS fit
+  FROM r LEFT JOIN e USING (post)),
+q AS (SELECT post, pos, list({'f': -fit, 'p': -spot, 'id': id}) AS offers, row_number() OVER (PARTITION BY post ORDER BY max(CASE WHEN id IS NULL THEN 0 ELSE fit END) DESC, pos) AS n FROM f GROUP BY 1, 2),
+s AS (SELECT DISTINCT post, 0::BIGINT AS n, CAST([] AS BIGINT[]) AS taken, NULL::BIGINT AS pos, NULL::BIGINT AS id FROM r
+  UNION ALL SELECT post, n, CASE WHEN pick IS NULL THEN taken ELSE list_append(taken, pick) END, pos, pick FROM (
+    SELECT s.post, q.n, s.taken, q.pos, list_sort(list_filter(q.offers, lambda x: x.id IS NOT NULL AND NOT list_contains(s.taken, x.id)))[1].id AS pick FROM s JOIN q ON q.post = s.post AND q.n = s.n + 1))
+SELECT post, pos, id FROM s WHERE n > 0""",
+    "embedded_post": """
+WITH p AS (SELECT page_id AS k, html, replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&', '') AS title, page_id % 33 = 5 AS bare, page_id % 20 = 7 AND page_id % 33 <> 5 AS odd, page_id % 3 = 0 AS data FROM pages),
+f AS (SELECT *, NOT bare AND NOT odd AS ok, 'https://x/' || k AS file FROM p)
+SELECT k AS page_id, CASE WHEN ok THEN 'site_' || (k % 50) END AS author, CASE WHEN ok AND data THEN CAST(k AS VARCHAR) END AS id,
+  CASE WHEN ok THEN CASE WHEN NOT data THEN 'IMAGE' WHEN k % 4 = 1 THEN 'VIDEO' WHEN k % 4 = 2 THEN 'CAROUSEL_ALBUM' ELSE 'IMAGE' END END AS media_type,
+  CASE WHEN ok THEN sha256(CASE WHEN data THEN html ELSE regexp_replace(title || ' & más' || chr(10) || 'ya', '^\\s+', '') END) END AS caption_sha256, CASE WHEN ok AND data THEN k * 1000 END AS taken_at,
+  CASE WHEN NOT ok THEN NULL WHEN NOT data THEN 'IMAGE ' || file || 'm.jpg?a=1&b=2' WHEN k % 4 = 1 THEN 'VIDEO ' || file || '.jpg ' || file || '.mp4'
+    WHEN k % 4 = 2 THEN 'VIDEO ' || file || '.jpg ' || file || '.mp4,IMAGE ' || file || '.jpg' ELSE 'IMAGE ' || file || '.jpg' END AS media,
+  CASE WHEN ok THEN data END AS by_data, CASE WHEN bare THEN 'no post' WHEN odd THEN 'odd author' END AS refused
+FROM f""",
 }
