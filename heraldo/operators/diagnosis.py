@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +38,15 @@ def recorded(records: DataFrame, events: DataFrame, today: Column) -> DataFrame:
     return first.join(stored, "code", "left")
 
 
-def last_tries(tries: DataFrame) -> DataFrame:
-    """(account, tried_failed): whether the last run that tried an account failed to read it, as a grouped maximum."""
-    return tries.groupBy("account").agg(F.max_by("failed", F.struct("finished_at", "failed")).alias("tried_failed"))
+def account_facts(followed: DataFrame, feeds: DataFrame, states: DataFrame, tries: DataFrame) -> DataFrame:
+    """What is known of each account on one row, as grouped maxima over all four tables at once, which combine before the shuffle."""
+    yes = F.lit(True)
+    parts = [
+        followed.select("account", yes.alias("_followed")), feeds.select("account", yes.alias("_looked"), F.col("problem").alias("_problem")),
+        states.select("account", F.col("first_seen").alias("_first"), F.col("last_read").alias("_read")), tries.select("account", F.struct("finished_at", "failed").alias("_tried")),
+    ]
+    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    return rows.groupBy("account").agg(*[F.max(c).alias(c) for c in rows.columns if c != "account"])
 
 
 def diagnose(
@@ -56,16 +64,15 @@ def diagnose(
     All tables meet by equi-joins on codes, ids and accounts; only the last run, one row, goes to every row.
     """
     link_account = F.lower(F.nullif(F.regexp_extract("link", r"^\s*(?:https?://)?[^/\s]+/([A-Za-z0-9._]+)/(?:p|reels?|tv)/", 1), F.lit("")))
-    q = asked.withColumn("code", text.post_code(F.col("link"))).join(recorded(records, events, today), "code", "left")
+    # rows without a code or an account match nothing: their keys, which no code or name can be, spread them
+    spread = F.concat(F.lit("/"), F.pmod(F.monotonically_increasing_id(), F.lit(10007)).cast("string"))
+    q = asked.withColumn("code", text.post_code(F.col("link"))).withColumn("_spread", spread).withColumn("_code", F.coalesce("code", "_spread"))
+    q = q.join(recorded(records, events, today).withColumnRenamed("code", "_code"), "_code", "left")
     named = F.coalesce("account", link_account, "author")
     q = q.withColumn("_with", F.when(F.col("record").isNull() & (F.col("author") != named), named)).withColumn("of_account", F.coalesce("record.account", F.when(named.isNotNull(), F.coalesce("author", named))))
-    by = lambda other, *named: other.select(F.col("account").alias("of_account"), *named)
-    q = q.join(by(followed, F.lit(True).alias("_followed")).distinct(), "of_account", "left")
-    q = q.join(by(feeds.groupBy("account").agg(F.max("problem").alias("_problem")), "_problem", F.lit(True).alias("_looked")), "of_account", "left")
-    posts = feed.withColumn("code", text.post_code(F.col("permalink"))).groupBy("account", "code").agg(F.max("published").alias("published"))
-    q = q.join(by(posts, "code", "published"), ["of_account", "code"], "left")
-    q = q.join(by(states.groupBy("account").agg(F.min("first_seen").alias("_first"), F.max("last_read").alias("_read")), "_first", "_read"), "of_account", "left")
-    q = q.join(by(last_tries(tries), "tried_failed"), "of_account", "left")
+    q = q.withColumn("_account", F.coalesce("of_account", "_spread"))
+    posts = feed.withColumn("_code", text.post_code(F.col("permalink"))).groupBy(F.col("account").alias("_account"), "_code").agg(F.max("published").alias("published"))
+    q = q.join(posts, ["_account", "_code"], "left").join(account_facts(followed, feeds, states, tries).withColumnRenamed("account", "_account"), "_account", "left")
     last = runs.agg(F.max_by(F.struct("finished_at", "pending"), F.struct("finished_at", "pending")).alias("_last")).withColumn("_one", F.lit(1))
     q = q.withColumn("_one", F.lit(1)).join(F.broadcast(last), "_one", "left")
 
@@ -82,7 +89,7 @@ def diagnose(
     of_date = (
         F.when(F.col("_first").isNull(), "new_account").when(published > F.coalesce("_read", "_last.finished_at"), "after_last_read")
         .when((published < first_day) & older(first_days), "before_first_read").when(older(lookback), "too_old")
-        .when(F.col("tried_failed"), "last_read_failed").when(F.col("_last.pending"), "waiting").otherwise("unexplained")
+        .when(F.col("_tried.failed"), "last_read_failed").when(F.col("_last.pending"), "waiting").otherwise("unexplained")
     )
     verdict = (
         F.when(F.col("code").isNull(), "not_a_post").when(r.isNotNull(), of_record).when(F.col("of_account").isNull(), "unknown_account").when(~followed_now, "not_followed")
