@@ -5,27 +5,47 @@ from __future__ import annotations
 import difflib
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from heraldo.operators.announcements import GATHERINGS, NIGHTS
 
 CLOSE_SPELLING, RECHECK_AFTER_DAYS, GRAM = 0.88, 14, 3
+BLOCK_DAYS, CROWDED = 64, 100_000
 
 
 def repeats_earlier(readings: DataFrame, matched: DataFrame) -> DataFrame:
     """(batch, pos, id): unmatched readings on a day of an earlier post's of their batch, unless a night meets a gathering.
 
-    readings: batch, pos (of the post), id, event_type, days; matched: id. Per batch, day and kind only the earliest post
-    and its kind matter, so a day with many readings is one row.
+    readings: batch, pos (of the post, a whole number), id, event_type, days; matched: id. Days travel as bits of BLOCK_DAYS,
+    and a window in the posts' order carries what days each kind has had. Batches of over CROWDED readings meet by day
+    instead: only the earliest post per batch, day and kind matters there, so a day with many readings is one row.
     """
     many = F.size("days") > 1
     kind = F.when(F.col("event_type").isin(*GATHERINGS), 1).when(F.col("event_type").isin(*NIGHTS) & ~many, 2).otherwise(0)
-    on_day = readings.select("batch", "pos", "id", kind.alias("kind"), F.explode("days").alias("day"))
-    first = on_day.groupBy("batch", "day", F.col("kind").alias("other")).agg(F.min("pos").alias("first"))
-    met = on_day.join(matched.select("id"), "id", "left_anti").join(first, ["batch", "day"])
-    return met.where((F.col("first") < F.col("pos")) & (F.col("kind") + F.col("other") != 3)).select("batch", "pos", "id").distinct()
+    rows = readings.where("batch is not null and pos is not null").select("batch", "pos", "id", kind.alias("kind"), "days")
+    # a row for CROWDED readings at most
+    crowded = F.broadcast(readings.groupBy("batch").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED).select("batch"))
+    few, crowd = (rows.join(crowded, "batch", how) for how in ("left_anti", "left_semi"))
+
+    place = lambda d: F.unix_date(d)
+    block = lambda d: F.floor(place(d) / BLOCK_DAYS).cast("int")
+    blocks = F.explode(F.array_distinct(F.transform(F.array_compact("days"), block)))
+    bit = lambda bits, d: F.when(block(d) == F.col("block"), bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place(d), F.lit(BLOCK_DAYS))))).otherwise(bits)
+    bits = few.select("*", blocks.alias("block")).select("batch", "pos", "id", "kind", "block", F.aggregate("days", F.lit(0).cast("long"), bit).alias("bits"))
+    before = Window.partitionBy("batch", "block").orderBy("pos").rangeBetween(Window.unboundedPreceding, -1)
+    had = [F.coalesce(F.bit_or(F.when(F.col("kind") == k, F.col("bits"))).over(before), F.lit(0).cast("long")) for k in range(3)]
+    bits = bits.select("batch", "pos", "id", "kind", "bits", *[h.alias(f"had{k}") for k, h in enumerate(had)])
+    fits = [F.when(F.col("kind") + k != 3, F.col(f"had{k}")).otherwise(F.lit(0).cast("long")) for k in range(3)]
+    of_few = bits.where(F.col("bits").bitwiseAND(fits[0].bitwiseOR(fits[1]).bitwiseOR(fits[2])) != 0)
+
+    on_day = crowd.select("batch", "pos", "id", "kind", F.explode("days").alias("day"))
+    # without the hint Spark takes the days for as few as the rows they come from, and sends them to every executor
+    first = on_day.groupBy("batch", "day", F.col("kind").alias("other")).agg(F.min("pos").alias("first")).hint("merge")
+    of_crowd = on_day.join(first, ["batch", "day"]).where((F.col("first") < F.col("pos")) & (F.col("kind") + F.col("other") != 3))
+    met = of_few.select("batch", "pos", "id").unionByName(of_crowd.select("batch", "pos", "id"))
+    return met.join(matched.select("id"), "id", "left_anti").select("batch", "pos", "id").distinct()
 
 
 def one_identity(posts: DataFrame, post_id: str, code: str, made: str) -> DataFrame:

@@ -3,7 +3,7 @@
 import datetime as dt
 from itertools import combinations
 
-from heraldo.operators import matching
+from heraldo.operators import matching, reconcile
 
 
 def plan(df):
@@ -33,3 +33,26 @@ def test_sets_of_rare_members_meet_by_them(spark):
     assert "bit_count" not in plan(found)
     empty = spark.createDataFrame([], "k long, m long")
     assert matching.shared_members(empty, "k", "m").collect() == []
+
+
+def test_repeats_of_a_batch_by_hand_in_small_and_in_crowded_batches(spark, monkeypatch):
+    day = lambda d: dt.date(2026, 1, 1) + dt.timedelta(d)
+    types = ["festival", "party", "class", None, "congress", "social"]
+    rows = [(k % 3 if k % 17 else None, k // 2 if k % 19 else None, k if k % 23 else None, types[k % 6], [day((k * 37) % 120 - 60 + d) for d in range(k % 5)] + [None] * (k % 7 == 0)) for k in range(160)]
+    rows += [(0, 500, 900, "class", None), (0, 501, 901, "class", [day(0), day(200)]), (0, 502, 902, "class", [day(200)])]
+    known = {r[2] for r in rows if r[2] and r[2] % 4 == 0}
+    kind = lambda r: 1 if r[3] in ("congress", "festival") else 2 if r[3] in ("party", "social") and len(r[4] or ()) <= 1 else 0
+    meets = lambda a, b: None not in (a[0], a[1], b[1]) and a[0] == b[0] and a[1] < b[1] and kind(a) + kind(b) != 3 and {*(a[4] or ())} & {*(b[4] or ())} - {None}
+    want = {(b[0], b[1], b[2]) for a in rows for b in rows if b[2] not in known and meets(a, b)}
+    readings = spark.createDataFrame(rows, "batch long, pos long, id long, event_type string, days array<date>")
+    matched = spark.createDataFrame([(k,) for k in known] + [(None,)], "id long")
+    for crowded in (100_000, 50, 1):
+        monkeypatch.setattr(reconcile, "CROWDED", crowded)
+        found = reconcile.repeats_earlier(readings, matched)
+        assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want)) and len(want) > 20
+
+
+def test_days_of_readings_are_not_sent_to_every_executor(spark):
+    readings = spark.range(100).selectExpr("id % 5 as batch", "id as pos", "id", "'class' as event_type", "sequence(date'2026-01-01', date'2026-03-01') as days")
+    found = plan(reconcile.repeats_earlier(readings, readings.select("id").where("id < 3")))
+    assert not [x for x in found.splitlines() if "BroadcastHashJoin" in x and "day#" in x]
