@@ -3,6 +3,8 @@
 import datetime as dt
 from itertools import combinations
 
+from pyspark.sql import functions as F
+
 from heraldo.operators import matching, reconcile
 
 
@@ -56,3 +58,22 @@ def test_days_of_readings_are_not_sent_to_every_executor(spark):
     readings = spark.range(100).selectExpr("id % 5 as batch", "id as pos", "id", "'class' as event_type", "sequence(date'2026-01-01', date'2026-03-01') as days")
     found = plan(reconcile.repeats_earlier(readings, readings.select("id").where("id < 3")))
     assert not [x for x in found.splitlines() if "BroadcastHashJoin" in x and "day#" in x]
+
+
+def test_twins_by_hand_with_few_words_and_with_many(spark, monkeypatch):
+    rows = [(k % 3 if k % 11 else None, k if k % 13 else None, f"w{k % 4} w{k % 7} w{k % 4}" if k % 5 else None) for k in range(60)] + [(0, 6, "w2 w6"), (1, 1, "w1"), (9, 99, "alone"), (9, 99, "alone")]
+    found = {}
+    for a in rows:
+        for b in rows:
+            if None not in (*a, *b) and a[0] == b[0] and a[1] != b[1] and {*a[2].split()} & {*b[2].split()}:
+                found[a[1]] = min(found.get(a[1], b[1]), b[1])
+    df = spark.createDataFrame(rows, "block long, k long, said string")
+    for few in (100_000, 0):
+        monkeypatch.setattr(matching, "FEW", few)
+        assert dict(tuple(r) for r in matching.first_twin(df, ["block"], "k", F.split("said", " ")).collect()) == found
+
+
+def test_twins_send_the_firsts_and_never_the_rows(spark):
+    df = spark.range(200).selectExpr("id % 3 as block", "id as k", "concat('w', id % 7, ' w', id % 5) as said")
+    found = plan(matching.first_twin(df, ["block"], "k", F.split("said", " ")))
+    assert found.count("BuildRight") == 2 and "BuildLeft" not in found
