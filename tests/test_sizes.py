@@ -77,3 +77,13 @@ def test_twins_send_the_firsts_and_never_the_rows(spark):
     df = spark.range(200).selectExpr("id % 3 as block", "id as k", "concat('w', id % 7, ' w', id % 5) as said")
     found = plan(matching.first_twin(df, ["block"], "k", F.split("said", " ")))
     assert found.count("BuildRight") == 2 and "BuildLeft" not in found
+
+
+def test_members_that_no_item_has_go_before_any_shuffle(spark, monkeypatch):
+    items = spark.createDataFrame([(1, 5), (1, 6), (1, 6), (2, 7), (3, None), (4, 99)], "item long, m long")
+    answers = spark.createDataFrame([(8, 5), (8, 5), (9, 5), (9, 6), (7, 6), (7, 5), (3, 7), (4, 8), (5, None)], "answer long, m long")
+    for most in (1_000_000, 0):
+        monkeypatch.setattr(matching, "MOST_SENT", most)
+        found = matching.best_overlap(items, answers, "item", "answer", "m")
+        assert sorted(tuple(r) for r in found.collect()) == [(1, 7, 2), (2, 3, 1)]
+        assert ("LeftSemi" in plan(found)) == (most > 0)
