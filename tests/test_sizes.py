@@ -5,6 +5,7 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
+from heraldo.functions import mentions
 from heraldo.operators import matching, reconcile
 
 
@@ -87,3 +88,33 @@ def test_members_that_no_item_has_go_before_any_shuffle(spark, monkeypatch):
         found = matching.best_overlap(items, answers, "item", "answer", "m")
         assert sorted(tuple(r) for r in found.collect()) == [(1, 7, 2), (2, 3, 1)]
         assert ("LeftSemi" in plan(found)) == (most > 0)
+
+
+def test_equal_texts_are_read_once_and_give_what_each_alone_gives(spark, monkeypatch):
+    said = ["Desde las 7:30 pm", None, "", "Baile\n12 de marzo", "primero de mayo a mediodía", "mar 5", "del 3 al 5 de junio, ① de julio", "sin fecha", "5, 6 y 7 de abril 8 p. m. a 2 am"]
+    rows = spark.createDataFrame([(i, said[i % len(said)]) for i in range(200)], "i long, x string").repartition(1)
+    alone = [mentions.scan(x or "") for x in said]
+    for r in rows.select("i", mentions.mentions("x").alias("m")).collect():
+        assert r["m"].asDict(True) == alone[r["i"] % len(said)]
+    reads = []
+    monkeypatch.setattr(mentions, "known_scan", lambda x: reads.append(x) or mentions.scan(x))
+    import pyarrow as pa
+
+    out = mentions.mentions.func(pa.array([said[i % len(said)] for i in range(900)]))
+    assert len(out) == 900 and len(reads) == len(said)
+
+
+def test_readers_start_at_every_place_they_can():
+    def all_places(line, reader):
+        out, i = [], 0
+        while i < len(line):
+            hit = reader(line, i)
+            out += [(i, hit[1], hit[0])] if hit else []
+            i = max(hit[1], i + 1) if hit else i + 1
+        return out
+
+    words = "12 de marzo primero mayo. del 3 al 5 y & 7/8 , 2026 medianoche 8:30 pm a m las 10h mar hasta -".split()
+    for k in range(400):
+        line = mentions.Line(" ".join(words[(k * k + 3 * j * (k % 7 + 1) + j // 3) % len(words)] for j in range(12)))
+        for reader in (mentions.read_date, mentions.read_range, mentions.read_list, mentions.read_time, mentions.read_span):
+            assert mentions._found(line, reader) == all_places(line, reader)
