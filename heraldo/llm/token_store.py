@@ -60,19 +60,31 @@ class TextEncoder:
         """Encodes chunks that aren't known yet. Words of letters go through together: each ends in a word-end token."""
         if len(self.known) > CACHE:
             self.known.clear()
-        missing = [c for c in chunks if c not in self.known]
-        plain = [(c, m) for c in missing if (m := _PLAIN(c))]
-        words = list({m[1]: None for _, m in plain} | {m[2]: None for _, m in plain if m[2]}) or ["."]
+        known = self.known
+        missing = [c for c in chunks if c not in known]
+        bare = [c for c in missing if c.isascii() and c.isalpha()]
+        others = [c for c in missing if not (c.isascii() and c.isalpha())]
+        signed, rest = [], []
+        for c in others:
+            if m := _PLAIN(c):
+                signed.append((c, *m.groups()))
+            else:
+                rest.append(c)
+        parts = {w for _, word, signs in signed for w in (word, signs)}
+        words = bare + list(parts.difference(bare, ("",))) or ["."]
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.word_end[ids]) + 1
         if len(ends) == len(words) and ends[-1] == len(ids):
-            raw, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
-            of = {w: raw[a:b] for w, a, b in zip(words, bounds[:-1], bounds[1:])} | {"": b""}
-            for c, m in plain:
-                self.known[c] = of[m[1]] + of[m[2]]
-        rest = [c for c in missing if c not in self.known]
+            raw, bounds = ids.tobytes(), (4 * ends).tolist()
+            pieces = [raw[a:b] for a, b in zip([0, *bounds], bounds)]
+            known.update(zip(bare, pieces))
+            of = dict(zip(words, pieces)) if signed else {}
+            of[""] = b""
+            known.update((c, of[word] + of[signs]) for c, word, signs in signed)
+        else:
+            rest = missing
         for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ()):
-            self.known[c] = np.array(e.ids, "<u4").tobytes()
+            known[c] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, with the end id."""
@@ -84,7 +96,7 @@ class TextEncoder:
         bounds = bounds - bounds[0]
         self._learn(distinct)
         lists = [self.known[c] for c in distinct]
-        size = np.array([len(x) // 4 for x in lists], np.int64)
+        size = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
         flat = np.frombuffer(b"".join(lists), "<u4")
         begin = np.cumsum(size) - size
         n = size[codes]

@@ -118,3 +118,19 @@ def test_readers_start_at_every_place_they_can():
         line = mentions.Line(" ".join(words[(k * k + 3 * j * (k % 7 + 1) + j // 3) % len(words)] for j in range(12)))
         for reader in (mentions.read_date, mentions.read_range, mentions.read_list, mentions.read_time, mentions.read_span):
             assert mentions._found(line, reader) == all_places(line, reader)
+
+
+def test_bare_words_are_learned_without_a_pattern(monkeypatch):
+    import public_tokenizers
+    import pyarrow as pa
+
+    from heraldo.llm import token_store
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        encoder = token_store.TextEncoder(file.read())
+    plain, asked = token_store._PLAIN, []
+    monkeypatch.setattr(token_store, "_PLAIN", lambda c: asked.append(c) or plain(c))
+    texts = ["hello world, hello", "é ª x1 !! 12", "", "Ana-Lía dijo: ok."]
+    found = [x.tolist() for x in encoder.encode(pa.array(texts))]
+    assert found == [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, token_store.END_ID] for t in texts]
+    assert "hello" not in asked and "world," in asked
