@@ -1,5 +1,6 @@
 """Removal of repeated byte strings against a dictionary of all windows, with split anchors, patterns and awkward rows."""
 
+import hashlib
 from collections import Counter
 
 import numpy as np
@@ -79,3 +80,19 @@ def test_given_documents(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     out = suffix_dedup.repeated_spans(spark.read.parquet(f"{SMALL}/documents.parquet")).collect()
     assert sorted(((str(r["doc_id"]), r["n_bytes"], [tuple(s) for s in r["removed"]], bytes(r["kept"])) for r in out), key=repr) == plain(rows, 400)
+
+
+def test_query_on_passages_of_over_50_words(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    words = lambda n: " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 5)) for _ in range(n))
+    fits, short = words(80)[:400], words(80)[:399]
+    assert len(fits.split()) > 50 and len(short.split()) > 50
+    rows = [(i, words(150)) for i in range(6)]
+    rows += [(10, f"{words(90)}({fits}){words(90)}"), (11, fits + "+" + words(90)), (12, words(20) + "#" + fits)]
+    rows += [(20, f"{words(90)}({short}){words(90)}"), (21, short + "+" + words(90)), (22, words(20) + "#" + short)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.op13_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert {d for d, x in out.items() if x[1]} == {10, 11, 12}
+    for d, text in rows:
+        kept = text.replace(fits, "").encode()
+        assert out[d] == (len(text), len(text) - len(kept), int(d in (10, 11, 12)), hashlib.sha256(kept).hexdigest())
