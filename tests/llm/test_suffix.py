@@ -1,9 +1,11 @@
 """Removal of repeated byte strings against a dictionary of all windows, with split anchors, patterns and awkward rows."""
 
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from heraldo.llm import suffix_dedup
@@ -96,3 +98,47 @@ def test_query_on_passages_of_over_50_words(spark, tmp_path):
     for d, text in rows:
         kept = text.replace(fits, "").encode()
         assert out[d] == (len(text), len(text) - len(kept), int(d in (10, 11, 12)), hashlib.sha256(kept).hexdigest())
+
+
+def test_zero_bytes_at_the_end(spark):
+    for text in (b"ab\0\0\0", b"\0" * 20, b"\0a\0", b"b\0\0a\0\0"):
+        order = suffix_dedup.suffix_array(np.frombuffer(text, np.uint8))
+        assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+    shared = "".join(np.random.default_rng(1).choice(list("abcdefgh "), 36)) + "\0" * 4
+    rows = [(k, "XYZ"[k] * (k + 1) + shared) for k in range(3)]
+    assert found(spark, rows, 40, 13) == plain(rows, 40)
+
+
+@pytest.mark.parametrize("part, piece", [(1000, 1), (1000, 1 << 11), (3, 1 << 9)])
+def test_shards_in_pieces(spark, monkeypatch, part, piece):
+    monkeypatch.setattr(suffix_dedup, "PART", part)
+    monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", piece)
+    monkeypatch.setattr(suffix_dedup, "RANGE_BYTES", 1 << 10)
+    rows = made(7)
+    assert found(spark, rows, 40, 13) == plain(rows, 40)
+
+
+def peak_mb(work):
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_full_shard_and_of_a_scan():
+    rng = np.random.default_rng(4)
+    bits = rng.integers(97, 123, (1500, 672)).astype(np.uint8)
+    texts = [(k % 1500, bytes(bits[k % 1500]) if k < 1500 else bytes(np.roll(bits[k % 1500], 100))) for k in range(6000)]
+    no = np.arange(len(texts))
+    columns = {"key": [k for k, _ in texts], "r1": no, "r2": no, "m": np.full(len(no), 273), "c": np.ones(len(no), int), "spread": np.ones(len(no), int), "shard": np.zeros(len(no), int)}
+    group = pa.table({**{x: pa.array(column, pa.int64()) for x, column in columns.items()}, "data": [t for _, t in texts]})
+    out, most = peak_mb(lambda: suffix_dedup._shard(400, 1)(group))
+    assert most < 130  # 4 MB of records
+    runs = dict(zip(out.column("r1").to_pylist(), out.column("spans").to_pylist()))
+    assert len(runs) == 6000 and sorted(out.column("no").to_pylist()) == no.tolist()
+    assert all(np.frombuffer(runs[k], "<i4").tolist() == ([0, 173] if k < 1500 else [0, 273]) for k in range(6000))
+
+    batch = pa.record_batch({"row": list(range(3)), "text": ["".join(map(chr, rng.integers(97, 123, 900_000))) for _ in range(3)]})
+    _, most = peak_mb(lambda: [x.num_rows for x in suffix_dedup._scan(400, 128)([batch])])
+    assert most < 90
