@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from heraldo.functions import mentions
 from heraldo.operators import matching, reconcile
+from heraldo.plans import entities
 
 
 def plan(df):
@@ -29,6 +30,38 @@ def test_sets_of_common_members_are_compared_once_a_pair(spark):
     assert "bit_count" in plan(found)  # pairs aren't listed once a shared member
 
 
+def test_pairs_of_sets_are_stored_in_few_bytes(spark, tmp_path):
+    import numpy as np
+    import pyarrow.parquet as pq
+
+    users = spark.range(2500 * 13).selectExpr("id % 2500 as user_id", "timestamp_ntz '2024-01-01' + make_dt_interval(cast(pmod(xxhash64(id), 30) as int)) as ts", "'purchase' as event_type")
+    users.write.parquet(f"{tmp_path}/events.parquet")
+    entities.session_set_overlap(spark, str(tmp_path)).write.parquet(f"{tmp_path}/pairs")
+    bits = np.zeros(2500, np.uint64)
+    for user, day in users.selectExpr("user_id", "day(ts)").collect():
+        bits[user] |= np.uint64(1 << day)
+    shared, size = np.bitwise_count(bits[:, None] & bits).astype(np.int64), np.bitwise_count(bits).astype(np.int64)
+    a, b = np.nonzero(np.triu(2 * shared >= np.minimum(size[:, None], size), 1))
+    found = pq.read_table(f"{tmp_path}/pairs").sort_by([("a", "ascending"), ("b", "ascending")])
+    assert len(a) > 500_000 and [(found[x].to_numpy() == y).all() for x, y in (("a", a), ("b", b), ("shared", shared[a, b]))] == [True] * 3
+    assert sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet")) < 2 * len(a)
+
+
+def test_sets_in_several_ranges_of_keys_by_hand(spark, monkeypatch):
+    rows = [(f"k{k}" if k % 9 else None, d) for k in range(70) for d in range(150) if (k * 7 + d * d) % 11 < k % 13] + [("x", None), ("k5", None), ("k7", 3), ("k7", 3)]
+    sets = spark.createDataFrame(rows, "k string, m long")
+    want = shared_by_hand(rows)
+    monkeypatch.setattr(matching, "BLOCK", 6)
+    monkeypatch.setattr(matching, "WIDE", 3)
+    assert sorted(tuple(r) for r in matching.shared_members(sets, "k", "m").collect()) == want
+    mostly = [x for x in want if x[2] >= 0.6 * min(x[3:])]
+    assert 0 < len(mostly) < len(want)
+    for bits in (1024, 0):
+        monkeypatch.setattr(matching, "MOST_BITS", bits)
+        assert sorted(tuple(r) for r in matching.shared_members(sets, "k", "m", 0.6).select("a", "b", "shared", "na", "nb").collect()) == mostly
+        assert sorted(tuple(r) for r in matching.shared_members(sets, "k", "m", 0.6, sizes=False).collect()) == [x[:3] for x in mostly]
+
+
 def test_sets_of_rare_members_meet_by_them(spark):
     rows = [(k, k // 2 + 100 * j) for k in range(60) for j in range(3)] + [(1, None), (None, 2)]
     found = matching.shared_members(spark.createDataFrame(rows, "k long, m long"), "k", "m").select("a", "b", "shared", "na", "nb")
